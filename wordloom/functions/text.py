@@ -42,7 +42,8 @@ TREEBANK_RULES: list[tuple[str, str]] = [
         r"|got(?=ta(?!\w))|lem(?=me(?!\w))|mor(?='n(?!\w))|wan(?=na\s))(not|'ye|me|na|ta|'n)",
         " $1 $2 ",
     ),
-    (r"(?i) ('t)(is|was)(?!\w)", " $1 $2 "),
+    (r"(?i) ('t)(is)(?!\w)", " $1 $2 "),
+    (r"(?i) ('t)(was)(?!\w)", " $1 $2 "),
 ]
 
 # The same boundaries for a line without apostrophes.  Every mark that the rules set off by

@@ -43,5 +43,6 @@ def read_text_lines(spark: SparkSession, paths: str | list[str], glob: str = "*"
 
 def list_documents(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
     """``(doc_id)`` of every file, those without any word included."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
-    return files.select(F.col("path").alias("doc_id"))
+    # the file listing is what Spark's file index keeps on the driver for any read
+    listed = spark.read.option("pathGlobFilter", glob).text(paths).inputFiles()
+    return spark.createDataFrame([(path,) for path in listed], "doc_id string")
