@@ -209,4 +209,7 @@ def test_examples_are_numbered_in_corpus_order(random_sents):
             want.append((len(want), x, known[i]))
     for parts in (1, 5):
         encoded = encoding.encode_sentences(random_sents.repartition(parts), vocab)
-        assert rows_of(contexts.lm_examples(encoded, len(ids), 2), "ex_id", "x_idx", "y") == want
+        got = contexts.lm_examples(encoded, len(ids), 2)
+        assert rows_of(got, "ex_id", "x_idx", "y") == want
+    dense = contexts.one_hot_vectors(got, len(ids), 2).orderBy("ex_id").first()["x"].toArray()
+    assert dense.sum() == 2 and list(dense.nonzero()[0]) == want[0][1] and len(dense) == 2 * len(ids)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,11 +88,21 @@ def lm_examples(
     )
 
 
-def one_hot_positions(examples: DataFrame, vocab_size: int) -> DataFrame:
-    """``(ex_id, slot, word_id)``: the words behind the one-positions."""
-    return examples.select(
-        "ex_id", F.posexplode(F.transform("x_idx", lambda x: x % vocab_size)).alias("slot", "word_id")
-    )
+def one_hot_positions(examples: DataFrame, vocab_size: int, key: list[str]) -> DataFrame:
+    """``(key, slot, word_id)``: the words behind the one-positions."""
+    words = F.transform("x_idx", lambda x: x % vocab_size)
+    return examples.select(*key, F.posexplode(words).alias("slot", "word_id"))
+
+
+def one_hot_vectors(examples: DataFrame, vocab_size: int, context_size: int) -> DataFrame:
+    """Add ``x``: the concatenated one-hot input as a sparse vector, for use with ``pyspark.ml``."""
+    width = vocab_size * context_size
+
+    @F.udf(VectorUDT())
+    def sparse(positions):
+        return Vectors.sparse(width, positions, [1.0] * len(positions))
+
+    return examples.withColumn("x", sparse("x_idx"))
 
 
 def minibatches(

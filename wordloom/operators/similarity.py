@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wordloom.errors import WordNotInVocabulary
 from wordloom.functions import vectors as vec
 from wordloom.functions.arrays import stack_vectors
+from wordloom.operators.joins import BROADCAST_ROWS
 
 Similarity = Callable[[Column, Column], Column]
 # Query vectors sent to the workers at a time, in bytes.
@@ -67,7 +68,9 @@ def most_similar_sparse(
     if probe is None:
         raise WordNotInVocabulary(word)
     own = cells.where(F.col("row") == probe["id"]).select("col", F.col("value").alias("own"))
-    own_norm = own.agg(F.sqrt(F.sum(F.col("own") ** 2))).first()[0]
+    own_norm, filled = own.agg(F.sqrt(F.sum(F.col("own") ** 2)), F.count("*")).first()
+    if filled <= BROADCAST_ROWS:
+        own = F.broadcast(own)
     scored = (
         cells.where(F.col("row") != probe["id"])
         .join(own, "col", "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.operators.joins import skew_safe_join
 from wordloom.operators.ordering import dense_index
+from wordloom.sources.scratch import materialize
 
 
 def token_counts(sents: DataFrame, col: str = "toks") -> DataFrame:
@@ -21,7 +22,7 @@ def at_least(counts: DataFrame, min_count: int) -> DataFrame:
 def vocabulary(counts: DataFrame, min_count: int = 1) -> DataFrame:
     """``vocab(tok, id, n)``: most frequent word first, ties in word order.  A written table."""
     ranked = dense_index(at_least(counts, min_count), [F.col("n").desc(), F.col("tok")], "id")
-    return ranked.select("tok", F.col("id").cast("int").alias("id"), "n")
+    return materialize(ranked.select("tok", F.col("id").cast("int").alias("id"), "n"), "vocabulary")
 
 
 def vocabulary_size(vocab: DataFrame) -> DataFrame:

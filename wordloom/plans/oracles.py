@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from wordloom.plans.settings import (
-    BATCH, COOC_MIN_COUNT, CONTEXT, FILE_BATCHES, LM_MIN_COUNT, PHRASE_MIN_COUNT,
-    PHRASE_THRESHOLD, SAMPLE, SEED, SMOOTHING, TOP_N, W2V_MIN_COUNT, W2V_WINDOW, WINDOW,
+    BATCH, COOC_MIN_COUNT, CONTEXT, FILE_BATCHES, LM_MIN_COUNT, NEGATIVE, PHRASE_MIN_COUNT,
+    PHRASE_THRESHOLD, SAMPLE, SEED, SMOOTHING, SVD_K, TOP_N, W2V_MIN_COUNT, W2V_WINDOW, WINDOW,
 )
 
 SENT = "doc_id, line_no, sent_no"
@@ -389,9 +389,10 @@ SELECT (SELECT tok FROM vocab WHERE id = 10) AS word, tok AS neighbor,
        round(similarity, 6) AS similarity,
        row_number() OVER (ORDER BY similarity DESC, row)::INTEGER AS rank
 FROM sims JOIN vocab ON id = row ORDER BY similarity DESC, row LIMIT {TOP_N}"""
-    out["svd_orthonormality"] = """
+    out["svd_orthonormality"] = f"""
 SELECT i::INTEGER AS i, j::INTEGER AS j, CASE WHEN i = j THEN 1.0 ELSE 0.0 END::DOUBLE AS value
-FROM range(50) a(i), range(50) b(j)"""
+FROM range({SVD_K}) a(i), range({SVD_K}) b(j)"""
+    out["svd_residual"] = f"SELECT i::INTEGER AS dim, 0.0::DOUBLE AS residual FROM range({SVD_K}) a(i)"
 
     # vectors
     out["cosine_pairs"] = f"""{with_(CENTROIDS)}
@@ -440,6 +441,32 @@ SELECT c.doc_id, c.line_no, c.sent_no, c.pos, c.id AS center, o.id AS context
 FROM numbered c JOIN numbered o
   ON c.doc_id = o.doc_id AND c.line_no = o.line_no AND c.sent_no = o.sent_no
  AND abs(c.i - o.i) BETWEEN 1 AND c.width"""
+    draws = ", ".join(
+        hash32("'noise'", str(j), "0", "doc_id", "line_no", "sent_no", "pos", "nth") for j in range(NEGATIVE)
+    )
+    out["negative_samples"] = f"""{kept},
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY {SENT} ORDER BY pos) AS i,
+         1 + {hash32("'window'", "0", "doc_id", "line_no", "sent_no", "pos")} % {W2V_WINDOW} AS width
+  FROM sampled),
+pairs AS (
+  SELECT c.doc_id, c.line_no, c.sent_no, c.pos, o.id AS context,
+         row_number() OVER (PARTITION BY c.doc_id, c.line_no, c.sent_no, c.pos ORDER BY o.i) - 1 AS nth
+  FROM numbered c JOIN numbered o
+    ON c.doc_id = o.doc_id AND c.line_no = o.line_no AND c.sent_no = o.sent_no
+   AND abs(c.i - o.i) BETWEEN 1 AND c.width),
+draws AS (SELECT context, unnest([{draws}]) / 4294967296.0::DOUBLE AS u FROM pairs),
+noise AS (
+  SELECT id, upto, coalesce(lag(upto) OVER (ORDER BY id), 0) AS start FROM (
+    SELECT id, sum(w) OVER (ORDER BY id) / (SELECT sum(pow(n, 0.75)) FROM vocab) AS upto
+    FROM (SELECT id, pow(n, 0.75) AS w FROM vocab))),
+buckets AS (
+  SELECT id, start, upto,
+         unnest(generate_series(floor(start * 4096)::BIGINT, floor(upto * 4096)::BIGINT)) AS bucket
+  FROM noise)
+SELECT id, count(*) AS drawn
+FROM draws JOIN buckets ON floor(u * 4096)::BIGINT = bucket AND u >= start AND u < upto
+WHERE id <> context GROUP BY id"""
     out["negative_distribution"] = f"""{tok_w2v}
 SELECT id, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p FROM vocab"""
 
@@ -450,6 +477,12 @@ SELECT id, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p F
     )
     joins = " ".join(f"JOIN vocab v{i} ON v{i}.id = w{i}" for i in range(CONTEXT))
     out["lm_embed_lookup"] = f"{ex} SELECT split, ex_id, {pair} FROM examples {joins}"
+    out["lm_score"] = f"""{ex}
+SELECT split, ex_id, y, 0 AS y_hat, round(1.0::DOUBLE / (SELECT count(*) FROM vocab), 9) AS p_y FROM batched"""
+    out["lm_init_from_vectors"] = f"""{lm_vocab}
+SELECT 0 AS layer, 'w' AS name, id AS row, 2 AS width, round(ln(n) + length(tok), 6) AS total FROM vocab
+UNION ALL SELECT 2, 'w', id, 16, 0.0::DOUBLE FROM vocab
+UNION ALL SELECT 2, 'b', 0, count(*)::INTEGER, 0.0::DOUBLE FROM vocab"""
     out["l2_norm"] = f"""{lm_vocab}
 SELECT round(0.5 * 0.01 * sum(ln(n) ** 2 + length(tok) ** 2), 6) AS penalty FROM vocab"""
     out["lm_cost"] = f"{lm_vocab} SELECT round(ln(count(*)), 6) AS cost FROM vocab"

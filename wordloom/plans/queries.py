@@ -15,7 +15,7 @@ from wordloom.operators import language_model as lm
 from wordloom.operators import phrases, similarity, termdoc, vocabulary, word2vec
 from wordloom.plans.models import TermDocumentModel, WordWordModel
 from wordloom.plans.settings import (
-    BATCH, CONTEXT, COOC_MIN_COUNT, FILE_BATCHES, LM_MIN_COUNT, SAMPLE, SEED, SMOOTHING, SVD_K,
+    BATCH, CONTEXT, COOC_MIN_COUNT, FILE_BATCHES, LM_MIN_COUNT, NEGATIVE, SAMPLE, SEED, SMOOTHING, SVD_K,
     TOP_N, W2V_MIN_COUNT, W2V_WINDOW, WINDOW,
 )
 from wordloom.sources.saved import preprocessor_settings, save_tables, load_tables
@@ -238,8 +238,7 @@ def lm_examples_encoded(spark, sf):
 def examples_decoded(spark, sf):
     """Examples written to disk, read back and expanded to one word per context slot."""
     vocab, examples = _examples(spark, sf)
-    words = F.transform("x_idx", lambda x: x % vocab.count())
-    return contexts.fixed(examples).select("split", "ex_id", F.posexplode(words).alias("slot", "word_id"))
+    return contexts.one_hot_positions(contexts.fixed(examples), vocab.count(), ["split", "ex_id"])
 
 
 @query
@@ -431,6 +430,15 @@ def svd_singular_values(spark, sf):
     return spark.createDataFrame([(i, round(s, 6)) for i, s in enumerate(sigma)], "dim int, sigma double")
 
 
+@query
+def svd_residual(spark, sf):
+    """How far ``A A' u`` is from ``sigma^2 u``, relative to the largest ``sigma^2``."""
+    model = _word_word(spark, sf).ppmi()
+    u, sigma = decomposition.svd_truncate(model.cells, model.vocab.count(), SVD_K)
+    found = decomposition.residuals(model.cells, u, sigma)
+    return found.select("dim", rounded("residual"))
+
+
 @query
 def svd_orthonormality(spark, sf):
     return decomposition.gram(_svd(spark, sf)[0]).select("i", "j", rounded("value"))
@@ -590,7 +598,7 @@ def negative_distribution(spark, sf):
 def negative_samples(spark, sf):
     """How often each word is drawn as noise over all pairs."""
     vocab, windows = _windows(spark, sf)
-    drawn = word2vec.negative_samples(windows, vocab, seed=SEED)
+    drawn = word2vec.negative_samples(windows, vocab, NEGATIVE, SEED)
     return drawn.select(F.explode("noise").alias("id")).groupBy("id").agg(F.count("*").alias("drawn"))
 
 
@@ -711,9 +719,12 @@ def lm_predict_topk(spark, sf):
 
 @query
 def lm_init_from_vectors(spark, sf):
-    """Initial parameters whose embedding rows are singular vectors where those exist."""
-    model = _word_word(spark, sf).ppmi()
-    u, _ = decomposition.svd_truncate(model.cells, model.vocab.count(), 16)
-    params = lm.init_params(spark, model.vocab.count(), CONTEXT, 16, 16, SEED, u)
+    """Initial parameters started from (log count, length) vectors; the random layer left out."""
+    vocab = _vocab(_sents(spark, sf), LM_MIN_COUNT)
+    pair = F.array(F.ln("n"), F.length("tok").cast("double"))
+    vectors = vocab.select("id", pair.alias("vec"))
+    params = lm.init_params(spark, vocab.count(), CONTEXT, 2, 16, SEED, vectors)
     total = F.aggregate("vals", F.lit(0.0), lambda acc, x: acc + x)
-    return params.select("layer", "name", "row", F.round(total, 6).alias("total"))
+    return params.where("layer <> 1").select(
+        "layer", "name", "row", F.size("vals").alias("width"), F.round(total, 6).alias("total")
+    )

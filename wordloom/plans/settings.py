@@ -17,3 +17,4 @@ W2V_WINDOW = 5
 SAMPLE = 0.001
 TOP_N = 5
 SVD_K = 50
+NEGATIVE = 5

@@ -19,7 +19,7 @@ def read_text_lines(spark: SparkSession, paths: str | list[str], glob: str = "*"
         .option("lineSep", "\n")
         .text(paths)
         .select(
-            F.col("_metadata.file_path").alias("doc_id"),
+            F.input_file_name().alias("doc_id"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("at"),
             F.col("value").alias("line"),

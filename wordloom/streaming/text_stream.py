@@ -20,7 +20,7 @@ def stream_lines(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame
     """Lines of whole files as they appear; each file is one document."""
     files = spark.readStream.option("pathGlobFilter", glob).text(folder, wholetext=True)
     parts = files.select(
-        F.col("_metadata.file_path").alias("doc_id"),
+        F.input_file_name().alias("doc_id"),
         F.posexplode(F.split("value", "\n")).alias("line_no", "line"),
     )
     return parts.withColumn("line", strip("line")).where(F.col("line") != "")
