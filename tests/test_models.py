@@ -6,7 +6,7 @@ from tests.conftest import rows_of
 from wordloom.errors import WordNotInVocabulary
 from wordloom.operators import corpus, encoding, phrases, vocabulary, word2vec
 from wordloom.operators import language_model as lm
-from wordloom.plans import jobs
+from wordloom.plans import cli, jobs
 from wordloom.plans.models import EmbeddingModel, LanguageModel, TermDocumentModel, WordWordModel
 from wordloom.sources import saved
 from wordloom.sources.scratch import checkpoint_dir, materialize
@@ -301,3 +301,32 @@ def test_too_large_weights_are_refused(spark, monkeypatch):
     monkeypatch.setattr(lm, "MODEL_BYTES", 100)
     with pytest.raises(ValueError):
         lm.load_weights(lm.init_params(spark, 10, 2, 4, 4))
+
+
+def test_command_lines(spark, tmp_path):
+    text = "Cats chase mice and dogs. Dogs chase cats. Mice like cheese!\n" * 40
+    books = tmp_path / "books"
+    books.mkdir()
+    for name, content in (("1.txt", text), ("2.txt", text), ("3.txt", ""), ("notes.md", text)):
+        (books / name).write_text(content)
+    source = ["--input", str(books), "--glob", "*.txt", "--save"]
+
+    def save(job, *more):
+        cli.main([job, *source, str(tmp_path / job), *more], spark)
+        return str(tmp_path / job)
+
+    td = TermDocumentModel.load(spark, save("term-document", "--min_count", "5"))
+    assert td.doc_index.count() == 3
+    assert [v for _, v in rows_of(td.word_vector("cats"))] == [80.0, 80.0, 0.0]
+    ww = WordWordModel.load(spark, save("word-word", "--window", "2", "--min_count", "5"))
+    assert ww.settings["window"] == 2 and ww.cells.count() > 0
+    emb = EmbeddingModel.load(spark, save("word2vec", "--iter", "1", "--dim", "4", "--phrases", "1"))
+    assert emb.vectors.count() == td.vocab.count() or len(emb.phrase_tables) == 1
+    for _ in range(2):
+        path = save(
+            "language-model", "--epochs", "1", "--context_size", "2", "--hidden_units", "3",
+            "--dimensions", "3", "--mini_batch_size", "8", "--data", str(tmp_path / "kept"),
+        )
+    assert LanguageModel.load(spark, path).stats.count() > 0
+    assert len(list((tmp_path / "kept").glob("config=*"))) == 1
+    assert spark.read.parquet(f"{path}/epochs").count() > 0
