@@ -176,6 +176,54 @@ def test_embeddings_learn_which_words_meet(pair_corpus, algorithm):
     assert rows_of(again) == rows_of(third)
 
 
+@pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
+def test_embeddings_with_weights_in_tables(pair_corpus, algorithm):
+    some = materialize(pair_corpus.where("doc_id < 60"), "some")
+    vocab = vocabulary.vocabulary(vocabulary.token_counts(some), 1)
+    vectors, losses = word2vec.train_word2vec(
+        some, vocab, algorithm, vector_size=8, window=4, epochs=3, sample=1.0, seed=4,
+        steps_per_epoch=1, model_bytes=0,
+    )
+    # the same steps on dense arrays, from the same examples
+    n = vocab.count()
+    start, _ = word2vec.train_word2vec(some, vocab, algorithm, vector_size=8, epochs=0, seed=4, model_bytes=0)
+    w_in = np.array([r["vec"] for r in start.orderBy("id").collect()])
+    w_out = np.zeros_like(w_in)
+    for epoch in range(3):
+        windows = word2vec.context_windows(word2vec.subsample(some, vocab, 1.0, 4, epoch), 4, 4, epoch)
+        each, outs = word2vec._table_examples(windows, vocab, algorithm == "skip-gram", 5, 4, epoch)
+        ins = {tuple(r["ex"]): r["ins"] for r in each.collect()}
+        g_in, g_out, loss = {i: [] for i in range(n)}, {i: [] for i in range(n)}, 0.0
+        back = {ex: np.zeros(8) for ex in ins}
+        for r in outs.collect():
+            hidden = w_in[ins[tuple(r["ex"])]].mean(axis=0)
+            gap = r["label"] - 1 / (1 + np.exp(-hidden @ w_out[r["out"]]))
+            loss -= np.log(1 - abs(gap) + 1e-12)
+            g_out[r["out"]].append(gap * hidden)
+            back[tuple(r["ex"])] += gap * w_out[r["out"]]
+        for ex, words in ins.items():
+            for w in words:
+                g_in[w].append(back[ex])
+        rate = 0.025 + (0.0001 - 0.025) * epoch / 3
+        for weights, grads in ((w_in, g_in), (w_out, g_out)):
+            for i, g in grads.items():
+                if g:
+                    weights[i] += rate * np.mean(g, axis=0) * min(len(g), word2vec.STEP_REPEATS)
+        assert losses[epoch] == pytest.approx(loss / len(ins))
+    got = np.array([r["vec"] for r in vectors.orderBy("id").collect()])
+    assert np.allclose(got, w_in, atol=1e-12) and not np.allclose(got, 0)
+
+
+def test_noise_intervals_cover_every_draw(spark):
+    counts = [(f"w{i}", i, n) for i, n in enumerate([5000, 900, 40, 7, 7, 1, 1, 1])]
+    vocab = spark.createDataFrame(counts, "tok string, id int, n bigint")
+    intervals, total, width = word2vec._noise_intervals(vocab)
+    points = spark.range(int(total)).withColumn("bucket", F.floor(F.col("id") / width)).withColumnRenamed("id", "at")
+    hits = points.join(intervals, "bucket").where("at >= lo and at < hi")
+    got = {r["id"]: r["count"] for r in hits.groupBy("id").count().collect()}
+    assert got == {i: int(np.ceil(n**0.75 * 1000)) for _, i, n in counts}
+
+
 def test_embedding_model_with_phrases(spark, small_lines, tmp_path):
     model = jobs.train_embeddings(small_lines, vector_size=8, n_iter=1, phrases_size=1, num_partitions=2)
     model.save(str(tmp_path / "emb"))

@@ -107,6 +107,21 @@ def test_svd_matches_dense_and_reports_rank(spark):
     assert all(abs(v - (i == j)) < 1e-9 for (i, j), v in gram.items()) and len(gram) == 16
 
 
+def test_block_iteration_agrees_with_lanczos(spark):
+    rng = np.random.default_rng(5)
+    a = rng.random((40, 40)) * (rng.random((40, 40)) < 0.4)
+    cells = [(i, j, float(a[i, j])) for i in range(40) for j in range(40) if a[i, j]]
+    df = spark.createDataFrame(cells, "row int, col int, value double")
+    want_u, want_s, _ = np.linalg.svd(a)
+    u, sigma = decomposition.svd_truncate(df, 40, 5, lanczos_bytes=0)
+    got = np.array([r["vec"] for r in u.orderBy("id").collect()])
+    assert np.allclose(sigma, want_s[:5], rtol=1e-8)
+    assert np.allclose(np.abs(got), np.abs(want_u[:, :5]), atol=1e-4)
+    low = [(i, j, float(v)) for (i, j), v in np.ndenumerate(np.outer(a[0], a[1]))]
+    flat = spark.createDataFrame(low, "row int, col int, value double").where("value <> 0")
+    assert len(decomposition.svd_truncate(flat, 40, 5, lanczos_bytes=0)[1]) == 1
+
+
 def test_pca_matches_dense(vectors, points):
     got = np.array([r["coords"] for r in decomposition.pca(vectors).orderBy("id").collect()])
     centred = points - points.mean(axis=0)
