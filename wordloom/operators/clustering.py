@@ -17,9 +17,9 @@ BLOCK_ROWS = 2000
 
 
 def group_means(vectors: DataFrame, group: str, col: str = "vec") -> DataFrame:
-    """``(group, vec)``: the mean vector of each group, summed map-side first."""
+    """``(group, vec, n)``: mean vector and size of each group, summed map-side first."""
     mean = Summarizer.mean(array_to_vector(F.col(col)))
-    return vectors.groupBy(group).agg(vector_to_array(mean).alias("vec"))
+    return vectors.groupBy(group).agg(vector_to_array(mean).alias("vec"), F.count("*").alias("n"))
 
 
 def dimension_variance(vectors: DataFrame, col: str = "vec") -> list[float]:

@@ -13,6 +13,7 @@ from wordloom.operators import clustering, contexts, corpus, decomposition, enco
 from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import language_model as lm
 from wordloom.operators import phrases, similarity, termdoc, vocabulary, word2vec
+from wordloom.operators.joins import skew_safe_join
 from wordloom.plans.models import TermDocumentModel, WordWordModel
 from wordloom.plans.settings import (
     BATCH, CONTEXT, COOC_MIN_COUNT, FILE_BATCHES, LM_MIN_COUNT, NEGATIVE, SAMPLE, SEED, SMOOTHING, SVD_K,
@@ -468,8 +469,9 @@ def _neighbors(found: DataFrame) -> DataFrame:
 @query
 def cosine_pairs(spark, sf):
     vectors = _vectors(spark, sf)
-    means = clustering.group_means(vectors, "label").withColumnRenamed("vec", "mean")
-    pairs = similarity.cosine_pairs(vectors.join(means, "label"), "vec", "mean")
+    means = materialize(clustering.group_means(vectors, "label"), "means")
+    means = means.withColumnRenamed("vec", "mean")
+    pairs = similarity.cosine_pairs(skew_safe_join(vectors, means, "label", "n"), "vec", "mean")
     return pairs.select("id", rounded("similarity"))
 
 
@@ -634,7 +636,7 @@ def lm_embed_lookup(spark, sf):
     """Concatenated context vectors, with (log count, length) as each word's vector."""
     vocab, examples = _examples(spark, sf)
     pair = F.array(F.ln("n"), F.length("tok").cast("double"))
-    vectors = vocab.select("id", pair.alias("vec"))
+    vectors = vocab.select("id", pair.alias("vec"), "n")
     found = lm.embed_lookup(examples, vectors, vocab.count(), ["split", "ex_id"])
     x = F.transform("x", lambda v: F.round(v, 6))
     return found.select("split", "ex_id", *[x[i].alias(f"x{i}") for i in range(2 * CONTEXT)])

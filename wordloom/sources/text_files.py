@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import strip
+from wordloom.sources.scratch import materialize
+
+# Line counts of this many file splits may be sent to every executor.
+BROADCAST_SPLITS = 2_000_000
 
 
 def read_text_lines(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
     """``lines(doc_id, line_no, line)`` of UTF-8 files; ``doc_id`` is the file path.
 
     Files split across tasks anywhere, so a line number is its rank within its split plus
-    the lines of the file's earlier splits; only one count per split is gathered.
+    the lines of the file's earlier splits.  The lines are written once with their place in
+    the split, because a second scan need not split files the same way.  Line counts per
+    split are broadcast, so that text is not shuffled, unless there are very many of them.
     """
     raw = (
         spark.read.option("pathGlobFilter", glob)
@@ -25,16 +31,20 @@ def read_text_lines(spark: SparkSession, paths: str | list[str], glob: str = "*"
             F.col("value").alias("line"),
         )
     )
+    raw = materialize(raw, "text-lines")
     splits = raw.groupBy("doc_id", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select(
         "doc_id", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
     )
+    starts = materialize(starts, "splits")
+    if starts.count() <= BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     return (
         raw.join(starts, ["doc_id", "block"])
         .select(
             "doc_id",
-            (F.col("start") + F.col("at") - F.col("first")).cast("int").alias("line_no"),
+            (F.col("start") + F.col("at") - F.col("first")).alias("line_no"),
             strip("line").alias("line"),
         )
         .where(F.col("line") != "")
