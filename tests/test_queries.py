@@ -26,7 +26,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, db, name):
-    if name == "svd_orthonormality":
-        pytest.skip("checked against a dense decomposition in test_vectors")
     got = registry.queries()[name](spark, SF).toPandas()
     assert differences(got, db.sql(registry.oracle_sql()[name]).df()) == ""
