@@ -78,7 +78,87 @@ r AS (
 SELECT *, NOT base_failed AND {_KEPT} AS kept FROM r
 """
 
+# Digests stand for the units; offsets are counted from 0.
+SUBSTRING_DEDUP = rf"""
+WITH l AS (
+  SELECT doc_id, text, line, i, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start
+  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM documents WHERE text IS NOT NULL)
+),
+u AS (
+  SELECT doc_id, text, line, i, start::BIGINT AS start, start::BIGINT + length(line) AS stop,
+         regexp_extract_all({LOWER.replace("text", "line")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM l
+),
+m AS (
+  SELECT *, len(words) >= 20 AND row_number() OVER (
+    PARTITION BY CASE WHEN len(words) >= 20 THEN array_to_string(words, ' ') ELSE doc_id || ':' || i END ORDER BY doc_id, start) > 1 AS gone,
+    max(i) OVER (PARTITION BY doc_id) AS last
+  FROM u
+),
+g AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (gone), '') AS removed,
+         coalesce(string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (NOT gone), '') AS kept,
+         coalesce(string_agg(line || CASE WHEN i < last THEN chr(10) ELSE '' END, '' ORDER BY start) FILTER (NOT gone), '') AS text
+  FROM m GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed,
+       coalesce(kept, '') AS kept, g.text
+FROM documents d LEFT JOIN g USING (doc_id)
+"""
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(array_to_string(words[i:i + 2], ' ')) AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM d WHERE len(words) > 0)
+),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b USING (gram) JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  WHERE a.doc_id <> b.doc_id AND 100 * least(na.n, nb.n) >= 90 * greatest(na.n, nb.n)
+  GROUP BY a.doc_id, b.doc_id
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 90 * (na.n + nb.n - shared)
+),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node WHERE r.root < l.b
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.root AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = d.doc_id
+"""
+
+LINE_DEDUP = r"""
+WITH l AS MATERIALIZED (
+  SELECT doc_id, source, line, trim(line, E' \t\n\v\f\r') AS body, i
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+),
+pages AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
+bad AS (
+  SELECT source, body FROM (SELECT source, body, count(DISTINCT doc_id) AS n FROM l WHERE body <> '' GROUP BY source, body) JOIN pages USING (source)
+  WHERE n >= 5 AND n > 0.1 * pages
+),
+g AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad.body IS NOT NULL) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (bad.body IS NULL), '') AS text
+  FROM l LEFT JOIN bad USING (source, body) GROUP BY doc_id
+)
+SELECT d.doc_id, d.source, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, g.text
+FROM documents d LEFT JOIN g USING (doc_id)
+"""
+
 ORACLES = {
     "op1_decontamination": DECONTAMINATION,
+    "op2_substring_dedup": SUBSTRING_DEDUP,
+    "op5_jaccard_join": JACCARD_JOIN,
+    "op7_line_dedup": LINE_DEDUP,
     "op9_quality_rules": QUALITY_RULES,
 }

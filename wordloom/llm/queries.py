@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import decontaminate, quality_rules
+from wordloom.llm import decontaminate, jaccard, line_dedup, quality_rules, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,11 +15,27 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_units(_table(spark, sf_dir, "documents"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
