@@ -94,7 +94,8 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, index: DataFrame) -> Dat
     places = first.where("terms = 1").unionByName(both).join(small(phrases), "phrase_id")
     # exact check of the candidates, a document's at once
     listed = places.groupBy("doc_id").agg(F.collect_list(F.struct("phrase_id", "start", "phrase")).alias("places"))
-    texts = docs.select("doc_id", alnum_words(F.col("text")).alias("words")).join(listed, "doc_id")
+    # (texts are shuffled as they are and split behind the join: word arrays are twice as large)
+    texts = docs.select("doc_id", "text").join(listed, "doc_id").select("doc_id", "places", alnum_words(F.col("text")).alias("words"))
     same = lambda p: F.slice(F.col("words"), p["start"] + 1, F.size(p["phrase"])) == p["phrase"]
     found = texts.select("doc_id", F.explode(F.filter("places", same)).alias("p"))
     return found.select("p.phrase_id", "doc_id", "p.start", F.size("p.phrase").alias("length"))
@@ -135,14 +136,15 @@ def _covered(spans: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: n_words, n_hit (words inside windows of items), n_items, items_sha256, contaminated."""
     of_items = materialize(item_windows(items, window), "windows")
-    phrases = of_items.select("phrase").distinct().select(F.sha2(F.to_json("phrase"), 256).alias("phrase_id"), "phrase")
+    # numbered once and written, so that every reader sees the same numbers
+    phrases = of_items.select("phrase").distinct().select(F.monotonically_increasing_id().alias("phrase_id"), "phrase")
     phrases = materialize(phrases, "distinct-windows")
     index = build_index(docs, materialize(phrases.select(F.explode("phrase").alias("term")).distinct(), "terms"))
     found = materialize(phrase_matches(docs, phrases, index), "matches")
     spans = found.select("doc_id", "start", (F.col("start") + F.col("length")).alias("end")).distinct()
     hits = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     hits = hits.select("doc_id", _covered(F.col("spans")).alias("n_hit"))
-    named = of_items.select("item_id", F.sha2(F.to_json("phrase"), 256).alias("phrase_id"))
+    named = of_items.join(phrases, "phrase").select("item_id", "phrase_id")
     met = found.select("doc_id", "phrase_id").distinct().join(named, "phrase_id").select("doc_id", "item_id").distinct()
     listed = met.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("items"))
     base = index.where(F.col("term").isNull()).select("doc_id", F.col("n_words").cast("bigint").alias("n_words"))
