@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import decontaminate, jaccard, line_dedup, quality_rules, substring_dedup
+from wordloom.llm import decontaminate, jaccard, line_dedup, pieces, quality_model, quality_rules, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,19 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_units(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_column(_table(spark, sf_dir, "documents"), pieces.load_pieces())
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
@@ -32,10 +41,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
