@@ -34,11 +34,11 @@ PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 class Ftrl:
     """Step size, smoothing, the two penalties and the passes over the sample."""
 
-    alpha: float = 0.3
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 0.02
-    l2: float = 0.05
-    passes: int = 4
+    l1: float = 0.05
+    l2: float = 0.0
+    passes: int = 6
 
 
 def _marks(word: str) -> tuple[int, ...]:
@@ -79,7 +79,9 @@ class Hasher:
 
 
 def fit(rows: list[tuple[np.ndarray, int]], how: Ftrl) -> np.ndarray:
-    """Weights after ``how.passes`` passes over (features, label) in their order."""
+    """Weights after ``how.passes`` passes over (features, label) in their order; both labels weigh the same in total."""
+    ones = sum(label for _, label in rows)
+    share = [len(rows) / (2 * max(k, 1)) for k in (len(rows) - ones, ones)]
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for _ in range(how.passes):
         for features, label in rows:
@@ -87,7 +89,7 @@ def fit(rows: list[tuple[np.ndarray, int]], how: Ftrl) -> np.ndarray:
             root = np.sqrt(square)
             weight = np.where(np.abs(own) > how.l1, -(own - np.sign(own) * how.l1) / ((how.beta + root) / how.alpha + how.l2), 0.0)
             size = len(features) ** -0.5
-            slope = (1 / (1 + np.exp(-size * weight.sum())) - label) * size
+            slope = (1 / (1 + np.exp(-size * weight.sum())) - label) * size * share[label]
             z[features] = own + slope - (np.sqrt(square + slope * slope) - root) / how.alpha * weight
             n[features] = square + slope * slope
     return np.where(np.abs(z) > how.l1, -(z - np.sign(z) * how.l1) / ((how.beta + np.sqrt(n)) / how.alpha + how.l2), 0.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import decontaminate, jaccard, line_dedup, pieces, quality_model, quality_rules, substring_dedup, toxicity
+from wordloom.llm import decontaminate, jaccard, licenses, line_dedup, pieces, quality_model, quality_rules, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
 }

@@ -4,9 +4,10 @@ Categories are predicted one after another by linear (logistic) models; each lat
 sees the log-odds that the earlier ones gave.  While training these come from other folds than the
 row's own, so a later model learns how far it can trust its forerunners.
 
-Features are the words of a text and the beginnings of longer words, present or not.  On a
-bounded, hash-ordered sample of labelled documents those are chosen that lean to some category
-more than chance allows; the models are fitted on them with a penalty.  All documents are scored
+Features are the words of a text and the beginnings of longer words, by how many of its distinct
+words have them (as log2(1 + n)).  On a
+bounded, hash-ordered sample of labelled documents those are chosen that lean to the last
+category more than chance allows; the models are fitted on them with a penalty.  All documents are scored
 over their whole texts.  Null and empty texts have no features and get the intercepts' score.
 """
 
@@ -22,14 +23,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.samples import SAMPLE_ROWS, labelled_sample
+from wordloom.llm.samples import labelled_sample
 
+# Labelled documents that a chain is fitted on, about.
+SAMPLE_ROWS = 10_000
 PREFIXES = (4, 5, 6, 7)
 LETTERS = re.compile(r"[^\W\d_]+")
 WORD_MEMO = 1 << 18
 # Features that a fitted chain uses at most, the strongest first; at least so many rows must have one.
-FEATURES, LEAST_ROWS, LEAST_Z = 4096, 3, 3.0
+FEATURES, LEAST_ROWS, LEAST_Z = 4096, 3, 4.0
 FOLDS = 4
+# Log-odds that a later model sees lie within this.
+MOST_ODDS = 6.0
 # Categories by language, the most frequent of the sample; then all together.
 LANGUAGES = 6
 
@@ -43,6 +48,11 @@ def words_of(text: str | None) -> set[str]:
     return set(LETTERS.findall(text.lower())) if text else set()
 
 
+def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct features of a text and how many of its distinct words have each."""
+    return np.unique(np.array([f for w in words_of(text) for f in word_features(w)], np.int64), return_counts=True)
+
+
 @dataclass
 class Chain:
     """Fitted models: ``features`` to columns, for each category weights, weights of earlier log-odds and an intercept."""
@@ -57,69 +67,67 @@ class Chain:
     def __post_init__(self) -> None:
         self.memo: dict[str, list[int]] = {}
 
-    def columns(self, text: str | None) -> list[int]:
-        memo, found = self.memo, set()
+    def columns(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Columns of the features of ``text`` and their values."""
+        memo, found = self.memo, []
         if len(memo) > WORD_MEMO:
             memo.clear()
         for word in words_of(text):
             at = memo.get(word)
             if at is None:
                 at = memo[word] = [c for f in word_features(word) if (c := self.features.get(f)) is not None]
-            found.update(at)
-        return sorted(found)
+            found += at
+        at, n = np.unique(np.array(found, np.intp), return_counts=True)
+        return at, np.log2(1 + n)
 
     def probabilities(self, text: str | None) -> list[float]:
-        at, odds = self.columns(text), np.zeros(len(self.categories))
+        (at, value), odds = self.columns(text), np.zeros(len(self.categories))
         for k in range(len(odds)):
-            odds[k] = self.intercept[k] + self.weights[k, at].sum() + self.earlier[k, :k] @ odds[:k]
+            odds[k] = self.intercept[k] + self.weights[k, at] @ value + self.earlier[k, :k] @ odds[:k].clip(-MOST_ODDS, MOST_ODDS)
         return (1 / (1 + np.exp(-odds.clip(-30, 30)))).tolist()
 
 
-def _logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int, l2: float, steps: int = 300):
-    """Weights of a penalised logistic model by accelerated gradient steps on sparse (rows, cols) and ``dense`` columns."""
+def _logistic(cells: tuple[np.ndarray, np.ndarray, np.ndarray], dense: np.ndarray, y: np.ndarray, width: int, l2: float, steps: int = 150):
+    """Weights of a penalised logistic model of sparse cells (rows, columns, values) and ``dense`` columns,
+    by steps that shrink with each coordinate's own past gradients."""
+    rows, cols, values = cells
     n = len(y)
-    weight, extra, bias = np.zeros(width), np.zeros(dense.shape[1]), 0.0
-    before = (weight, extra, bias)
-    # a bound of the curvature: the largest row, its dense part included, by the quarter of the logistic
-    per_row = np.bincount(rows, minlength=n) + (dense**2).sum(axis=1) + 1
-    rate = 1 / (0.25 * max(per_row.max(initial=1.0), 1.0) + l2)
-    for step in range(1, steps + 1):
-        push = (step - 1) / (step + 2)
-        now = (weight, extra, bias)
-        w, e, b = (a + push * (a - z) for a, z in zip(now, before))
-        odds = np.bincount(rows, w[cols], n) + dense @ e + b
-        gap = (1 / (1 + np.exp(-odds.clip(-30, 30))) - y) / n
-        weight = w - rate * (np.bincount(cols, gap[rows], width) + l2 * w / n)
-        extra, bias = e - rate * (dense.T @ gap + l2 * e / n), b - rate * gap.sum()
-        before = now
-    return weight, extra, bias
+    at, past = np.zeros(width + dense.shape[1] + 1), np.full(width + dense.shape[1] + 1, 1e-9)
+    for _ in range(steps):
+        odds = np.bincount(rows, at[cols] * values, n) + dense @ at[width:-1] + at[-1]
+        gap = 1 / (1 + np.exp(-odds.clip(-30, 30))) - y
+        slope = np.concatenate([np.bincount(cols, gap[rows] * values, width), dense.T @ gap, [gap.sum()]])
+        slope[:-1] += l2 * at[:-1]
+        past += slope * slope
+        at -= 0.5 * slope / np.sqrt(past)
+    return at[:width], at[width:-1], at[-1]
 
 
 def _log_odds(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
-def fit_chain(texts: list[np.ndarray], labels: np.ndarray, categories: list[str], l2: float = 0.05) -> Chain:
-    """A chain from the feature hashes of texts and their labels (rows x categories, 0 or 1)."""
+def fit_chain(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, categories: list[str], l2: float = 0.2) -> Chain:
+    """A chain from ``text_features`` of texts and their labels (rows x categories, 0 or 1)."""
     n = len(texts)
     if not n:
         return Chain(categories, {}, *(np.zeros((len(categories), k)) for k in (0, len(categories))), np.full(len(categories), -30.0), 0.5)
-    sizes = np.array([len(t) for t in texts])
-    names, codes = np.unique(np.concatenate(texts), return_inverse=True)
+    sizes = np.array([len(f) for f, _ in texts])
+    names, codes = np.unique(np.concatenate([f for f, _ in texts]), return_inverse=True)
+    values = np.log2(1 + np.concatenate([c for _, c in texts]))
     owner = np.repeat(np.arange(n), sizes)
     seen = np.bincount(codes, minlength=len(names))
-    strength = np.zeros(len(names))
-    for y in labels.T:
-        rate = (y.sum() + 0.5) / (n + 1)
-        hits = np.bincount(codes, y[owner], len(names))
-        strength = np.maximum(strength, (hits - seen * rate) / np.sqrt(seen * rate * (1 - rate)))
+    # chosen by the last category, which holds the others: by a narrower one every word of its language would lean
+    rate = (labels[:, -1].sum() + 0.5) / (n + 1)
+    hits = np.bincount(codes, labels[owner, -1], len(names))
+    strength = (hits - seen * rate) / np.sqrt(seen * rate * (1 - rate))
     strength[seen < LEAST_ROWS] = 0
     chosen = np.argsort(-strength, kind="stable")[:FEATURES]
     chosen = chosen[strength[chosen] >= LEAST_Z]
     place = np.full(len(names), -1)
     place[chosen] = np.arange(len(chosen))
     used = place[codes] >= 0
-    rows, cols, width = owner[used], place[codes][used], len(chosen)
+    cells, width = (owner[used], place[codes][used], values[used]), len(chosen)
 
     fold = np.arange(n) % FOLDS
     odds = np.zeros((n, len(categories)))
@@ -132,11 +140,12 @@ def fit_chain(texts: list[np.ndarray], labels: np.ndarray, categories: list[str]
         for f in range(FOLDS if n >= FOLDS else 0):
             train, test = fold != f, fold == f
             renumber = np.cumsum(train) - 1
-            inside = train[rows]
-            w, e, b = _logistic(renumber[rows[inside]], cols[inside], odds[train, :k], y[train], width, l2)
-            odds[test, k] = (np.bincount(rows, w[cols], n) + odds[:, :k] @ e + b)[test]
-        odds[:, k] = odds[:, k].clip(-8, 8)
-        weights[k], earlier[k, :k], intercept[k] = _logistic(rows, cols, odds[:, :k], y, width, l2)
+            inside = train[cells[0]]
+            part = (renumber[cells[0][inside]], cells[1][inside], cells[2][inside])
+            w, e, b = _logistic(part, odds[train, :k], y[train], width, l2)
+            odds[test, k] = (np.bincount(cells[0], w[cells[1]] * cells[2], n) + odds[:, :k] @ e + b)[test]
+        odds[:, k] = odds[:, k].clip(-MOST_ODDS, MOST_ODDS)
+        weights[k], earlier[k, :k], intercept[k] = _logistic(cells, odds[:, :k], y, width, l2)
     # the cut with the best F1 of the last category, out of fold; halfway to the next lower score
     y, p = labels[:, -1], 1 / (1 + np.exp(-odds[:, -1]))
     threshold = 0.5
@@ -156,12 +165,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], rows: int =
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [sorted({f for w in words_of(x) for f in word_features(w)}) for x in batch["text"]]
-            yield batch[["_order", *categories]].assign(features=found)
+            found = [text_features(x) for x in batch["text"]]
+            yield batch[["_order", *categories]].assign(features=[f for f, _ in found], counts=[n for _, n in found])
 
     def learned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(batches)
-        texts = [np.asarray(f, np.int64) for part in parts for f in part["features"]]
+        texts = [(f, n) for part in parts for f, n in zip(part["features"], part["counts"])]
         y = np.concatenate([p[categories].to_numpy(float) for p in parts]) if parts else np.zeros((0, len(categories)))
         chain = fit_chain(texts, y, categories)
         out = [("threshold", -1, 0, chain.threshold)]
@@ -173,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], rows: int =
 
     sample = labelled_sample(docs.select("doc_id", "text"), labels, categories, rows=rows)
     kinds = ", ".join(f"`{c}` int" for c in categories)
-    found = sample.mapInPandas(featured, f"_order bigint, {kinds}, features array<bigint>")
+    found = sample.mapInPandas(featured, f"_order bigint, {kinds}, features array<bigint>, counts array<int>")
     found = found.repartition(1).sortWithinPartitions("_order")
     model = found.mapInPandas(learned, "part string, category int, feature bigint, value double").toPandas()
     names = sorted(set(model.loc[model["part"] == "weight", "feature"].tolist()))
