@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import decontaminate, jaccard, licenses, line_dedup, pieces, quality_model, quality_rules, substring_dedup, toxicity
+from wordloom.llm import decontaminate, jaccard, licenses, line_dedup, pieces, pii, quality_model, quality_rules, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_units(_table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_model.score(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
@@ -52,6 +56,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_pii": op3_pii,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
