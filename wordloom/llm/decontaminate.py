@@ -6,9 +6,8 @@ rarest terms: the posting lists of the two rarest are shifted by the terms' offs
 intersected on (document, start), and what is left is compared word by word.  Documents never
 meet each other and a hot term is only listed for phrases that have no rarer one.
 
-Null or empty texts have no words and no hits; items without words are no phrase.  Repeated
-documents are separate rows as long as their ``doc_id`` differs; rows that repeat a ``doc_id``
-are not supported.  Only ``doc_id``/``item_id`` and ``text`` are read, other columns are ignored.
+Null or empty texts have no words and no hits; items without words are no phrase.  Rows without
+``doc_id`` are never hit.  Rows that repeat a ``doc_id`` each give a result row and share their hits.  Only ``doc_id``/``item_id`` and ``text`` are read, other columns are ignored.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ when ``per * intersection >= least * union``.
 4. Components of the tiles' forests are the answer.
 
 Null and empty texts have empty sets and hang on nothing; fewer than ``size`` words make one
-n-gram.  Ids are whole numbers, unique per row.
+n-gram.  Ids are whole numbers; rows that repeat one each give a result row.  Rows without an id have
+no component and null results.
 """
 
 from __future__ import annotations
@@ -261,24 +262,27 @@ def jaccard_components(
     docs: DataFrame, size: int = 3, threshold: Threshold = Threshold(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id (the least id reachable by links)."""
+    lost, docs = docs.where(F.col(key).isNull()), docs.where(F.col(key).isNotNull())
     signed = materialize(signatures(docs, size, key, text), "signatures")
     classes = signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = materialize(signed.join(classes, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
     near = clusters(docs, size, threshold, key, text)
     cluster = F.coalesce("component", "id").alias("cluster")
-    members = named.where("n > 0 AND id = rep").join(near, F.col("id") == F.col("node"), "left").select("id", "n", cluster)
+    members = named.where("n > 0 AND id = rep").join(near, F.col("id") == F.col("node"), "left").select("id", "n", cluster).distinct()
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("ids")).where("ids > 1")
     members = materialize(members.join(sizes.select("cluster"), "cluster"), "members")
     held = components(links(docs, members, size, threshold, key, text))
     least = held.select(F.col("node").alias("rep"), "component")
-    return named.join(least, "rep", "left").select(
+    found = named.join(least, "rep", "left").select(
         F.col("id").cast(docs.schema[key].dataType).alias(key),
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "rep").alias("component_id"),
     )
+    none = F.lit(None).cast("bigint")
+    return found.unionByName(lost.select(key, none.alias("n_shingles"), none.alias("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int, threshold: Threshold, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its least id."""
-    kept = jaccard_components(docs, size, threshold, key, text).where(F.col("component_id") == F.col(key)).select(key)
-    return docs.join(kept, key, "left_semi").select(docs.columns)
+    """The rows of ``docs`` that stand for their component: those with its least id.  Rows without an id stay."""
+    gone = jaccard_components(docs, size, threshold, key, text).where(F.col("component_id") != F.col(key)).select(key)
+    return docs.join(gone, key, "left_anti").select(docs.columns)

@@ -2,8 +2,8 @@
 
 Lines are compared without white space at their ends; blank lines are always kept.  A line that
 a page repeats counts once for that page.  Null texts stay null and count as pages without
-lines; rows without a host belong to no site and keep their text.  The row key must be unique;
-all columns of the input are returned, under their own names.
+lines; rows without a host belong to no site and keep their text, and so do rows without a key.  Repeated
+rows count as a page each.  All columns of the input are returned, under their own names.
 """
 
 from __future__ import annotations
@@ -51,14 +51,14 @@ def dedup_lines(
     lines = pages.select("key", "host", F.explode(found).alias("line")).select("key", "host", F.unhex(F.md5("line")).alias("digest"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     bad = materialize(boilerplate(lines, totals, ratio, min_pages), "boilerplate")
-    marked = lines.join(bad, ["host", "digest"]).groupBy("key").agg(F.collect_list("digest").alias("_bad"))
-    joined = docs.join(marked.withColumnRenamed("key", "_key"), F.col(key) == F.col("_key"), "left").drop("_key")
+    marked = lines.join(bad, ["host", "digest"]).groupBy("key").agg(F.collect_list("digest").alias("__line_dedup_bad"))
+    joined = docs.join(marked.withColumnRenamed("key", "__line_dedup_key"), F.col(key) == F.col("__line_dedup_key"), "left").drop("__line_dedup_key")
     whole = F.split(text, "\n")
-    keep = lambda line: (_stripped(line) == "") | ~F.array_contains("_bad", _digest(line))
-    left = joined.withColumn("_left", F.when(F.col("_bad").isNotNull(), F.filter(whole, keep)))
+    keep = lambda line: (_stripped(line) == "") | ~F.array_contains("__line_dedup_bad", _digest(line))
+    left = joined.withColumn("__line_dedup_left", F.when(F.col("__line_dedup_bad").isNotNull(), F.filter(whole, keep)))
     n_lines = F.coalesce(F.size(whole), F.lit(0))
     n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(n_lines)
-    dropped = F.when(F.col("_left").isNull(), F.lit(0)).otherwise(n_lines - F.size("_left"))
+    dropped = F.when(F.col("__line_dedup_left").isNull(), F.lit(0)).otherwise(n_lines - F.size("__line_dedup_left"))
     result = left.withColumn("_n_lines", n_lines.cast("bigint")).withColumn("_n_dropped", dropped.cast("bigint"))
-    rest = F.when(F.col("_left").isNull(), F.col(text)).otherwise(F.array_join("_left", "\n"))
-    return result.withColumn(text, rest).drop("_left", "_bad")
+    rest = F.when(F.col("__line_dedup_left").isNull(), F.col(text)).otherwise(F.array_join("__line_dedup_left", "\n"))
+    return result.withColumn(text, rest).drop("__line_dedup_left", "__line_dedup_bad")

@@ -6,8 +6,9 @@ occurrence with the least (rank, row key, offset) stays; repeats inside one text
 
 Digests are reduced to their first occurrence by an aggregation that combines before its
 shuffle, and the survivors are regrouped by document: no group of equal units ever stands in
-one task.  Null texts stay null, without units.  The row key must be unique; the other columns
-of the input are not returned.
+one task.  Null texts stay null, without units.  Rows without a key keep their text and are no
+earlier occurrence of any other; rows that repeat a key and a text are one occurrence.  The other
+columns of the input are not returned.
 """
 
 from __future__ import annotations
@@ -65,13 +66,13 @@ def dedup_units(
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for row, body, first in zip(batch["key"], batch["text"], batch["first"]):
+            for row, free, body, first in zip(batch["key"], batch["free"], batch["text"], batch["first"]):
                 if body is None:
                     rows.append((row, 0, 0, "", "", None))
                     continue
                 spans = list(units(body, unit))
                 stay = set() if first is None else set(first)
-                gone = [s for s in spans if s[0] not in stay and digest(body[s[0] : s[1]], min_words) is not None]
+                gone = [s for s in spans if not free and s[0] not in stay and digest(body[s[0] : s[1]], min_words) is not None]
                 dropped = set(gone)
                 left = [s for s in spans if s not in dropped]
                 # each unit left keeps the break that stood behind it
@@ -85,9 +86,11 @@ def dedup_units(
     order = F.col(rank) if rank else F.lit(0)
     order_kind = docs.schema[rank].dataType.simpleString() if rank else "int"
     source = docs.select(F.col(key).alias("key"), order.alias("rank"), F.col(text).alias("text"))
-    occurrences = source.mapInPandas(hashed, f"digest binary, rank {order_kind}, key {kind}, start int")
+    keyed = source.where("key IS NOT NULL")
+    occurrences = keyed.mapInPandas(hashed, f"digest binary, rank {order_kind}, key {kind}, start int")
     first = occurrences.groupBy("digest").agg(F.min(F.struct("rank", "key", "start")).alias("at"))
     kept = first.groupBy(F.col("at.key").alias("key")).agg(F.collect_list("at.start").alias("first"))
-    joined = source.select("key", "text").join(kept, "key", "left")
+    joined = keyed.select("key", F.lit(False).alias("free"), "text").join(kept, "key", "left")
+    lost = source.where("key IS NULL").select("key", F.lit(True).alias("free"), "text", F.lit(None).cast("array<int>").alias("first"))
     shape = f"key {kind}, n_units bigint, n_removed bigint, removed string, kept string, text string"
-    return joined.mapInPandas(cut, shape).withColumnRenamed("key", key)
+    return joined.mapInPandas(cut, shape).unionByName(lost.mapInPandas(cut, shape)).withColumnRenamed("key", key)

@@ -188,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], rows: int =
     names = sorted(set(model.loc[model["part"] == "weight", "feature"].tolist()))
     at = {f: i for i, f in enumerate(names)}
     size = len(categories)
-    chain = Chain(categories, at, np.zeros((size, len(at))), np.zeros((size, size)), np.zeros(size), 0.5)
+    # without labels nothing is toxic
+    chain = Chain(categories, at, np.zeros((size, len(at))), np.zeros((size, size)), np.full(size, -30.0), 0.5)
     for part, k, f, value in model.itertuples(index=False):
         if part == "threshold":
             chain.threshold = value
