@@ -252,7 +252,8 @@ def links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, key: str
                 found = []
         yield pd.DataFrame(found, columns=["a", "b"])
 
-    source = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).join(wanted, "id")
+    # what is wanted grows with the corpus, so it is not sent to every task even where it is still small
+    source = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).join(wanted.hint("merge"), "id")
     laid = source.mapInPandas(sets, "cluster bigint, band int, one int, two int, side int, id bigint, hashes array<bigint>")
     place = ["cluster", "band", "one", "two"]
     return laid.repartition(*place).sortWithinPartitions(*place).mapInPandas(joined, "a bigint, b bigint")
