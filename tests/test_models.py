@@ -163,7 +163,7 @@ def test_noise_follows_its_distribution(pair_corpus):
 @pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
 def test_embeddings_learn_which_words_meet(pair_corpus, algorithm):
     vocab = vocabulary.vocabulary(vocabulary.token_counts(pair_corpus), 1)
-    how = dict(vector_size=16, window=4, epochs=8, sample=1.0, num_partitions=2, seed=4)
+    how = dict(vector_size=16, window=4, epochs=8, sample=1.0, seed=4, chunk_words=2400)
     vectors, losses = word2vec.train_word2vec(pair_corpus, vocab, algorithm, **how)
     assert losses[-1] < losses[0] * 0.98
     found = {r["tok"]: np.array(r["vec"]) for r in vectors.collect()}
@@ -171,57 +171,73 @@ def test_embeddings_learn_which_words_meet(pair_corpus, algorithm):
     same = np.mean([unit[a] @ unit[b] for a in unit for b in unit if a < b and a[0] == b[0]])
     other = np.mean([unit[a] @ unit[b] for a in unit for b in unit if a[0] != b[0]])
     assert same > other + 0.3
-    again, _ = word2vec.train_word2vec(pair_corpus, vocab, algorithm, **{**how, "epochs": 1})
-    third, _ = word2vec.train_word2vec(pair_corpus, vocab, algorithm, **{**how, "epochs": 1})
-    assert rows_of(again) == rows_of(third)
 
 
 @pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
-def test_embeddings_with_weights_in_tables(pair_corpus, algorithm):
+def test_embeddings_do_not_depend_on_partitions(pair_corpus, algorithm):
+    vocab = vocabulary.vocabulary(vocabulary.token_counts(pair_corpus), 1)
+    how = dict(vector_size=8, window=3, epochs=2, sample=0.05, seed=4, chunk_words=500)
+    found = []
+    for parts in (2, 8):
+        vectors, losses = word2vec.train_word2vec(pair_corpus.repartition(parts, "doc_id"), vocab, algorithm, **how)
+        rounded = {r["tok"]: np.round(r["vec"], 9).tolist() for r in vectors.collect()}
+        found.append((rounded, np.round(losses, 9).tolist()))
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
+def test_one_epoch_equals_the_same_steps_on_arrays(pair_corpus, algorithm):
+    """Per chunk the published update, example by example; moves averaged over chunks by use."""
     some = materialize(pair_corpus.where("doc_id < 60"), "some")
     vocab = vocabulary.vocabulary(vocabulary.token_counts(some), 1)
-    vectors, losses = word2vec.train_word2vec(
-        some, vocab, algorithm, vector_size=8, window=4, epochs=3, sample=1.0, seed=4,
-        steps_per_epoch=1, model_bytes=0,
-    )
-    # the same steps on dense arrays, from the same examples
+    made = word2vec.training_examples(some, vocab, algorithm == "skip-gram", 4, 5, 1.0, 4, 0, chunk_words=150)
+    examples = materialize(made, "examples")
+    weights = materialize(word2vec.start_weights(vocab, 8, 4), "weights")
+    after, loss = word2vec.train_epoch(weights, examples, 0, 2, step_examples=1)
     n = vocab.count()
-    start, _ = word2vec.train_word2vec(some, vocab, algorithm, vector_size=8, epochs=0, seed=4, model_bytes=0)
-    w_in = np.array([r["vec"] for r in start.orderBy("id").collect()])
-    w_out = np.zeros_like(w_in)
-    for epoch in range(3):
-        windows = word2vec.context_windows(word2vec.subsample(some, vocab, 1.0, 4, epoch), 4, 4, epoch)
-        each, outs = word2vec._table_examples(windows, vocab, algorithm == "skip-gram", 5, 4, epoch)
-        ins = {tuple(r["ex"]): r["ins"] for r in each.collect()}
-        g_in, g_out, loss = {i: [] for i in range(n)}, {i: [] for i in range(n)}, 0.0
-        back = {ex: np.zeros(8) for ex in ins}
-        for r in outs.collect():
-            hidden = w_in[ins[tuple(r["ex"])]].mean(axis=0)
-            gap = r["label"] - 1 / (1 + np.exp(-hidden @ w_out[r["out"]]))
-            loss -= np.log(1 - abs(gap) + 1e-12)
-            g_out[r["out"]].append(gap * hidden)
-            back[tuple(r["ex"])] += gap * w_out[r["out"]]
-        for ex, words in ins.items():
-            for w in words:
-                g_in[w].append(back[ex])
-        rate = 0.025 + (0.0001 - 0.025) * epoch / 3
-        for weights, grads in ((w_in, g_in), (w_out, g_out)):
-            for i, g in grads.items():
-                if g:
-                    weights[i] += rate * np.mean(g, axis=0) * min(len(g), word2vec.STEP_REPEATS)
-        assert losses[epoch] == pytest.approx(loss / len(ins))
-    got = np.array([r["vec"] for r in vectors.orderBy("id").collect()])
-    assert np.allclose(got, w_in, atol=1e-12) and not np.allclose(got, 0)
-
-
-def test_noise_intervals_cover_every_draw(spark):
-    counts = [(f"w{i}", i, n) for i, n in enumerate([5000, 900, 40, 7, 7, 1, 1, 1])]
-    vocab = spark.createDataFrame(counts, "tok string, id int, n bigint")
-    intervals, total, width = word2vec._noise_intervals(vocab)
-    points = spark.range(int(total)).withColumn("bucket", F.floor(F.col("id") / width)).withColumnRenamed("id", "at")
-    hits = points.join(intervals, "bucket").where("at >= lo and at < hi")
-    got = {r["id"]: r["count"] for r in hits.groupBy("id").count().collect()}
-    assert got == {i: int(np.ceil(n**0.75 * 1000)) for _, i, n in counts}
+    start = np.zeros((2, n, 8))
+    for r in weights.collect():
+        start[r["side"], r["id"]] = r["vec"]
+    moves, uses, total, seen = np.zeros((2, n, 8)), np.zeros((2, n)), 0.0, 0
+    chunks = {}
+    for r in examples.collect():
+        chunks.setdefault(r["chunk"], []).append(r)
+    assert len(chunks) > 1
+    for rows in chunks.values():
+        rows.sort(key=lambda r: (r["turn"], r["doc_id"], r["line_no"], r["sent_no"], r["pos"], r["nth"]))
+        now, own = start.copy(), np.zeros((2, n))
+        for i, r in enumerate(rows):
+            rate = 0.025 + (0.0001 - 0.025) * (i / len(rows)) / 2
+            hidden, back = now[0][r["ins"]].mean(axis=0), np.zeros(8)
+            forward = np.zeros((n, 8))
+            own[0] += np.bincount(r["ins"], minlength=n)
+            own[1] += np.bincount([r["out"], *r["noise"]], minlength=n)
+            for k, (word, label) in enumerate([(r["out"], 1.0), *((w, 0.0) for w in r["noise"])]):
+                if k and word == r["out"]:
+                    continue
+                guess = 1 / (1 + np.exp(-hidden @ now[1][word]))
+                total -= np.log((guess if label else 1 - guess) + 1e-12)
+                back += rate * (label - guess) * now[1][word]
+                forward[word] += rate * (label - guess) * hidden
+            now[1] += forward
+            for word in r["ins"]:
+                now[0][word] += back
+            seen += 1
+        moves += own[:, :, None] * (now - start)
+        uses += own
+    want = start + moves / np.maximum(uses, 1)[:, :, None]
+    got = np.zeros_like(want)
+    for r in after.collect():
+        got[r["side"], r["id"]] = r["vec"]
+    assert np.allclose(got, want, atol=1e-12) and loss == pytest.approx(total / seen)
+
+
+def test_noise_by_join_equals_noise_by_search(pair_corpus):
+    vocab = vocabulary.vocabulary(vocabulary.token_counts(pair_corpus), 1)
+    windows = word2vec.context_windows(word2vec.subsample(pair_corpus, vocab, 1.0, 3), 2, 5)
+    sent = word2vec.negative_samples(windows, vocab, 5, 3)
+    joined = word2vec.negative_samples(windows, vocab, 5, 3, limit=2)
+    assert rows_of(sent) == rows_of(joined)
 
 
 def test_embedding_model_with_phrases(spark, small_lines, tmp_path):

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from wordloom.plans.settings import (
     BATCH, COOC_MIN_COUNT, CONTEXT, FILE_BATCHES, LM_MIN_COUNT, NEGATIVE, PHRASE_MIN_COUNT,
-    PHRASE_THRESHOLD, SAMPLE, SEED, SMOOTHING, SVD_K, TOP_N, W2V_MIN_COUNT, W2V_WINDOW, WINDOW,
+    PHRASE_THRESHOLD, SAMPLE, SEED, SMOOTHING, SVD_K, TOP_N, W2V_CHUNK_WORDS, W2V_MIN_COUNT, W2V_WINDOW,
+    WINDOW,
 )
 
 SENT = "doc_id, line_no, sent_no"
@@ -432,41 +433,66 @@ kept AS MATERIALIZED (
 sampled AS MATERIALIZED (
   SELECT {SENT}, pos, id FROM kept WHERE u < sqrt({SAMPLE}::DOUBLE / f) + {SAMPLE}::DOUBLE / f)"""
     out["w2v_subsample"] = f"{kept} SELECT {SENT}, pos, id FROM sampled"
-    out["skipgram_pairs"] = f"""{kept},
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY {SENT} ORDER BY pos) AS i,
-         1 + {hash32("'window'", "0", "doc_id", "line_no", "sent_no", "pos")} % {W2V_WINDOW} AS width
-  FROM sampled)
-SELECT c.doc_id, c.line_no, c.sent_no, c.pos, c.id AS center, o.id AS context
-FROM numbered c JOIN numbered o
-  ON c.doc_id = o.doc_id AND c.line_no = o.line_no AND c.sent_no = o.sent_no
- AND abs(c.i - o.i) BETWEEN 1 AND c.width"""
-    draws = ", ".join(
-        hash32("'noise'", str(j), "0", "doc_id", "line_no", "sent_no", "pos", "nth") for j in range(NEGATIVE)
-    )
-    out["negative_samples"] = f"""{kept},
+    reach = ", ".join(str(k) for k in range(-W2V_WINDOW, W2V_WINDOW + 1) if k)
+    near = f"""{kept},
 numbered AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY {SENT} ORDER BY pos) AS i,
          1 + {hash32("'window'", "0", "doc_id", "line_no", "sent_no", "pos")} % {W2V_WINDOW} AS width
   FROM sampled),
-pairs AS (
-  SELECT c.doc_id, c.line_no, c.sent_no, c.pos, o.id AS context,
+pairs AS MATERIALIZED (
+  SELECT c.doc_id, c.line_no, c.sent_no, c.pos, c.id AS center, o.id AS context,
          row_number() OVER (PARTITION BY c.doc_id, c.line_no, c.sent_no, c.pos ORDER BY o.i) - 1 AS nth
-  FROM numbered c JOIN numbered o
-    ON c.doc_id = o.doc_id AND c.line_no = o.line_no AND c.sent_no = o.sent_no
-   AND abs(c.i - o.i) BETWEEN 1 AND c.width),
-draws AS (SELECT context, unnest([{draws}]) / 4294967296.0::DOUBLE AS u FROM pairs),
-noise AS (
-  SELECT id, upto, coalesce(lag(upto) OVER (ORDER BY id), 0) AS start FROM (
-    SELECT id, sum(w) OVER (ORDER BY id) / (SELECT sum(pow(n, 0.75)) FROM vocab) AS upto
-    FROM (SELECT id, pow(n, 0.75) AS w FROM vocab))),
-buckets AS (
-  SELECT id, start, upto,
-         unnest(generate_series(floor(start * 4096)::BIGINT, floor(upto * 4096)::BIGINT)) AS bucket
-  FROM noise)
+  FROM (SELECT *, unnest([{reach}]) AS k FROM numbered) c JOIN numbered o
+    ON c.doc_id = o.doc_id AND c.line_no = o.line_no AND c.sent_no = o.sent_no AND o.i = c.i + c.k
+  WHERE abs(c.k) <= c.width)"""
+    out["skipgram_pairs"] = f"{near} SELECT {SENT}, pos, center, context FROM pairs"
+    draws = ", ".join(
+        hash32("'noise'", str(j), "0", "doc_id", "line_no", "sent_no", "pos", "nth") for j in range(NEGATIVE)
+    )
+    # the noise line in whole numbers, cut into 4096 parts so that draws find their stretch by equality
+    line = """noise_line AS MATERIALIZED (
+  SELECT id, (sum(w) OVER (ORDER BY id) - w)::BIGINT AS lo, (sum(w) OVER (ORDER BY id))::BIGINT AS hi
+  FROM (SELECT id, round(pow(n, 0.75) * 1000)::BIGINT AS w FROM vocab)),
+noise_size AS (SELECT max(hi) AS total, greatest(max(hi) // 4096, 1) AS step FROM noise_line),
+stretches AS (SELECT id, lo, hi, unnest(generate_series(lo // step, (hi - 1) // step)) AS part FROM noise_line, noise_size)"""
+    out["negative_samples"] = f"""{near}, {line},
+draws AS (
+  SELECT context, floor(u / 4294967296.0::DOUBLE * total)::BIGINT AS spot
+  FROM (SELECT context, unnest([{draws}]) AS u FROM pairs), noise_size)
 SELECT id, count(*) AS drawn
-FROM draws JOIN buckets ON floor(u * 4096)::BIGINT = bucket AND u >= start AND u < upto
-WHERE id <> context GROUP BY id"""
+FROM (SELECT *, spot // step AS part FROM draws, noise_size) d JOIN stretches USING (part)
+WHERE spot >= lo AND spot < hi AND id <> context GROUP BY id"""
+
+    def first_step(examples: str) -> str:
+        start = [f"({hash32(repr('start'), str(d), 'id')} / 4294967296.0::DOUBLE - 0.5) / 2" for d in range(2)]
+        return f"""{near}, {line},
+chunks AS (
+  SELECT greatest(1, round(sum(least(1.0::DOUBLE, sqrt({SAMPLE}::DOUBLE / f) + {SAMPLE}::DOUBLE / f) * n) / {W2V_CHUNK_WORDS}))::BIGINT AS chunks
+  FROM (SELECT n, n / total AS f FROM vocab, total)),
+start AS (SELECT id, {start[0]} AS v0, {start[1]} AS v1 FROM vocab),
+examples AS MATERIALIZED ({examples}),
+targets AS (
+  SELECT chunk, out, h0, h1, NULL AS u FROM examples
+  UNION ALL SELECT chunk, out, h0, h1, unnest([{draws}]) FROM examples),
+hits AS (
+  SELECT chunk, out AS id, 0.5 AS gap, h0, h1 FROM targets WHERE u IS NULL
+  UNION ALL
+  SELECT chunk, id, CASE WHEN id = out THEN 0.0 ELSE -0.5 END, h0, h1
+  FROM (SELECT *, spot // step AS part FROM
+         (SELECT *, floor(u / 4294967296.0::DOUBLE * total)::BIGINT AS spot FROM targets, noise_size WHERE u IS NOT NULL)) d
+  JOIN stretches USING (part) WHERE spot >= lo AND spot < hi),
+moved AS (
+  SELECT chunk, id, count(*) AS n, sum(0.025 * gap * h0) AS x0, sum(0.025 * gap * h1) AS x1 FROM hits GROUP BY chunk, id)
+SELECT v.id, round(coalesce(sum(m.n * m.x0) / sum(m.n), 0.0), 6) AS x0, round(coalesce(sum(m.n * m.x1) / sum(m.n), 0.0), 6) AS x1
+FROM vocab v LEFT JOIN moved m USING (id) GROUP BY v.id"""
+
+    chunk_of = f"{hash32(repr('chunk'), '0', 'doc_id', 'line_no', 'sent_no', '(pos // 1000)')} % (SELECT chunks FROM chunks)"
+    out["w2v_skipgram_step"] = first_step(f"""
+  SELECT doc_id, line_no, sent_no, pos, nth, {chunk_of} AS chunk, context AS out, v0 AS h0, v1 AS h1
+  FROM pairs JOIN start ON start.id = center""")
+    out["w2v_cbow_step"] = first_step(f"""
+  SELECT doc_id, line_no, sent_no, pos, 0 AS nth, {chunk_of} AS chunk, any_value(center) AS out, avg(v0) AS h0, avg(v1) AS h1
+  FROM pairs JOIN start ON start.id = context GROUP BY doc_id, line_no, sent_no, pos""")
     out["negative_distribution"] = f"""{tok_w2v}
 SELECT id, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p FROM vocab"""
 

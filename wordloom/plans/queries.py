@@ -17,7 +17,7 @@ from wordloom.operators.joins import skew_safe_join
 from wordloom.plans.models import TermDocumentModel, WordWordModel
 from wordloom.plans.settings import (
     BATCH, CONTEXT, COOC_MIN_COUNT, FILE_BATCHES, LM_MIN_COUNT, NEGATIVE, SAMPLE, SEED, SMOOTHING, SVD_K,
-    TOP_N, W2V_MIN_COUNT, W2V_WINDOW, WINDOW,
+    TOP_N, W2V_CHUNK_WORDS, W2V_EPOCHS, W2V_MIN_COUNT, W2V_WINDOW, WINDOW,
 )
 from wordloom.sources.saved import preprocessor_settings, save_tables, load_tables
 from wordloom.sources.scratch import materialize, scratch_path
@@ -607,8 +607,7 @@ def negative_samples(spark, sf):
 def _trained(spark, sf, algorithm):
     sents = _prepared(spark, sf)
     vectors, _ = word2vec.train_word2vec(
-        sents, _vocab(sents, W2V_MIN_COUNT), algorithm, vector_size=32, epochs=2,
-        num_partitions=4, seed=SEED,
+        sents, _vocab(sents, W2V_MIN_COUNT), algorithm, vector_size=100, epochs=W2V_EPOCHS, seed=SEED
     )
     return vectors.select("id", "tok", F.round(vec.norm(F.col("vec")), 6).alias("norm"))
 
@@ -623,6 +622,33 @@ def w2v_cbow(spark, sf):
     return _trained(spark, sf, "cbow")
 
 
+def _first_step(spark, sf, skipgram):
+    """Output vectors after one step over all examples of each chunk, averaged over chunks.
+
+    They start at zero, so every gap is one half and the step is plain arithmetic.
+    """
+    sents = _prepared(spark, sf)
+    vocab = _vocab(sents, W2V_MIN_COUNT)
+    made = word2vec.training_examples(
+        sents, vocab, skipgram, W2V_WINDOW, NEGATIVE, SAMPLE, SEED, 0, W2V_CHUNK_WORDS
+    )
+    weights = materialize(word2vec.start_weights(vocab, 2, SEED), "w2v-weights")
+    after, _ = word2vec.train_epoch(weights, materialize(made, "w2v-examples"), 0, 1, step_examples=1 << 60)
+    return after.where("side = 1").select(
+        "id", F.round(F.col("vec")[0], 6).alias("x0"), F.round(F.col("vec")[1], 6).alias("x1")
+    )
+
+
+@query
+def w2v_skipgram_step(spark, sf):
+    return _first_step(spark, sf, True)
+
+
+@query
+def w2v_cbow_step(spark, sf):
+    return _first_step(spark, sf, False)
+
+
 # ---- language model
 
 

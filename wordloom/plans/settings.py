@@ -18,3 +18,5 @@ SAMPLE = 0.001
 TOP_N = 5
 SVD_K = 50
 NEGATIVE = 5
+W2V_EPOCHS = 2
+W2V_CHUNK_WORDS = 8192
