@@ -176,3 +176,67 @@ def test_group_cohesion_equals_all_pairs(vectors, points):
         between = np.mean([cosine(points[i], points[j]) for i in mine for j in others])
         assert got[g]["n"] == len(mine)
         assert abs(got[g]["within"] - within) < 1e-9 and abs(got[g]["between"] - between) < 1e-9
+
+
+def test_tiles_cover_all_and_stay_small():
+    seen = np.zeros((70_000, 2100), np.int8)
+    for a, b in similarity.tiles(70_000, 2100):
+        assert (a.stop - a.start) * (b.stop - b.start) <= similarity.TILE_CELLS
+        seen[a, b] += 1
+    assert (seen == 1).all()
+    assert list(similarity.tiles(0, 5)) == []
+
+
+def test_running_best_ranks_ties_by_id():
+    rng = np.random.default_rng(3)
+    scores, ids = rng.integers(0, 4, (20, 90)).astype(float), rng.permutation(90)
+    scores[rng.random(scores.shape) < 0.2] = np.nan
+    best = similarity._Best(7)
+    for lo in range(0, 90, 13):
+        for q in (0, 10):
+            best.add(q, scores[q : q + 10, lo : lo + 13], ids[lo : lo + 13])
+    for q in range(20):
+        want = sorted((-s, i) for s, i in zip(scores[q], ids) if not np.isnan(s))[:7]
+        mine = best.query == q
+        assert list(zip(-best.score[mine], best.other[mine])) == want
+
+
+@pytest.mark.parametrize("measure", ["cosine", "dot", "euclidean"])
+def test_sparse_measures_equal_dense_ones(spark, measure):
+    rng = np.random.default_rng(8)
+    dense = rng.random((12, 6)) * (rng.random((12, 6)) < 0.5)
+    dense[4] = 0
+    cells = spark.createDataFrame(
+        [(i, j, float(x)) for (i, j), x in np.ndenumerate(dense) if x], "row int, col int, value double"
+    )
+    vocab = spark.createDataFrame([(f"w{i}", i) for i in range(12)], "tok string, id int")
+    got = similarity.most_similar_sparse(cells, vocab, "w0", 11, measure).orderBy("rank").collect()
+    dots, norms = dense @ dense[0], np.linalg.norm(dense, axis=1)
+    with np.errstate(invalid="ignore"):
+        want = {"cosine": dots / norms / norms[0], "dot": dots, "euclidean": -np.linalg.norm(dense - dense[0], axis=1)}[measure]
+    order = sorted((i for i in range(1, 12) if not np.isnan(want[i])), key=lambda i: (-round(want[i], 9), i))
+    assert [r["neighbor"] for r in got] == [f"w{i}" for i in order]
+    assert np.allclose([r["similarity"] for r in got], want[order])
+
+
+def test_svd_gives_a_zero_row_to_words_without_cells(spark):
+    cells = spark.createDataFrame([(0, 1, 2.0), (1, 0, 2.0), (1, 3, 1.0), (3, 1, 1.0)], "row int, col int, value double")
+    for limit in (decomposition.LANCZOS_BYTES, 0):
+        u, sigma = decomposition.svd_truncate(cells, 5, 2, lanczos_bytes=limit)
+        rows = {r["id"]: r["vec"] for r in u.collect()}
+        assert sorted(rows) == [0, 1, 2, 3, 4] and rows[2] == rows[4] == [0.0] * len(sigma)
+        assert any(rows[0]) and any(rows[1])
+
+
+def test_wide_rows_are_not_broadcast(spark, monkeypatch):
+    from wordloom.operators import joins
+
+    sent, real = [], F.broadcast
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 4096)
+    monkeypatch.setattr(joins.F, "broadcast", lambda df: sent.append(df.count()) or real(df))
+    dim = spark.range(200).select(
+        F.col("id").alias("k"), F.array_repeat(F.lit(1.0), 100).alias("vec"), (F.col("id") + 1).alias("n")
+    )
+    fact = spark.range(1000).select((F.col("id") % 200).alias("k"))
+    assert joins.skew_safe_join(fact, dim, "k", "n").count() == 1000
+    assert sent and max(sent) * 800 <= 4096

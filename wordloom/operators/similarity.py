@@ -13,10 +13,14 @@ from wordloom.errors import WordNotInVocabulary
 from wordloom.functions import vectors as vec
 from wordloom.functions.arrays import stack_vectors
 from wordloom.operators.joins import BROADCAST_ROWS
+from wordloom.sources.scratch import materialize
 
+MEASURES = ("cosine", "dot", "euclidean")
 Similarity = Callable[[Column, Column], Column]
 # Query vectors sent to the workers at a time, in bytes.
 PROBE_BYTES = 64 << 20
+# Scores that a task holds at a time.
+TILE_CELLS = 1 << 21
 
 
 def cosine_pairs(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -55,36 +59,45 @@ def _ranked(scored: DataFrame) -> DataFrame:
 
 
 def most_similar_sparse(
-    cells: DataFrame, vocab: DataFrame, word: str, top_n: int = 5
+    cells: DataFrame, vocab: DataFrame, word: str, top_n: int = 5, measure: str = "cosine"
 ) -> DataFrame:
-    """Cosine neighbours of one word over the rows of a sparse matrix.
+    """Neighbours of one word over the rows of a sparse matrix ``cells(row, col, value)``.
 
-    Only the columns the word itself fills can add to a dot product, so its row (at most
-    one cell per vocabulary word) is joined on the column; norms need the whole matrix.
+    Only the columns the word itself fills can add to a dot product, so its row is joined on the
+    column; norms need the whole matrix.  ``measure`` is cosine, dot or (negative) euclidean.  A word without
+    a cell is a zero vector: it has no cosine, but a dot product and a distance.
     """
     if top_n < 1:
         raise ValueError("top_n must be at least 1")
+    if measure not in MEASURES:
+        raise ValueError(f"unknown measure {measure!r}")
     probe = vocab.where(F.col("tok") == word).first()
     if probe is None:
         raise WordNotInVocabulary(word)
     own = cells.where(F.col("row") == probe["id"]).select("col", F.col("value").alias("own"))
-    own_norm, filled = own.agg(F.sqrt(F.sum(F.col("own") ** 2)), F.count("*")).first()
+    own_square, filled = own.agg(F.coalesce(F.sum(F.col("own") ** 2), F.lit(0.0)), F.count("*")).first()
     if filled <= BROADCAST_ROWS:
         own = F.broadcast(own)
-    scored = (
+    sums = (
         cells.where(F.col("row") != probe["id"])
         .join(own, "col", "left")
         .groupBy(F.col("row").alias("id"))
         .agg(
             F.sum(F.col("value") * F.coalesce("own", F.lit(0.0))).alias("dot"),
-            F.sqrt(F.sum(F.col("value") ** 2)).alias("norm"),
+            F.sum(F.col("value") ** 2).alias("square"),
         )
-        .withColumn("similarity", F.col("dot") / F.col("norm") / F.lit(own_norm))
-        .where(F.col("similarity").isNotNull())
     )
-    # rows without a cell are zero vectors: no cosine, never a neighbour
+    others = vocab.where(F.col("id") != probe["id"]).select("id", "tok").join(sums, "id", "left")
+    dot, square = F.coalesce("dot", F.lit(0.0)), F.coalesce("square", F.lit(0.0))
+    size = F.sqrt(square) * F.lit(float(own_square) ** 0.5)
+    similarity = {
+        "cosine": F.when(size > 0, dot / size),
+        "dot": dot,
+        "euclidean": -F.sqrt(F.greatest(square + F.lit(float(own_square)) - 2 * dot, F.lit(0.0))),
+    }[measure]
+    scored = others.select("id", "tok", similarity.alias("similarity")).where(F.col("similarity").isNotNull())
     best = scored.orderBy(F.col("similarity").desc(), "id").limit(top_n)
-    return _ranked(best.join(vocab.select("id", "tok"), "id").withColumn("word", F.lit(word)))
+    return _ranked(best.withColumn("word", F.lit(word)))
 
 
 def most_similar_batch(
@@ -96,13 +109,13 @@ def most_similar_batch(
 ) -> DataFrame:
     """``neighbors`` of every word in ``words(tok)``; unknown words drop out.
 
-    Workers hold a bounded block of query vectors, score whole batches against it and pass
-    on only their own best ``top_n`` per query.  More queries than fit one block take
-    further scans, one per block.
+    Tasks hold a bounded block of query vectors, score tiles of a fixed number of cells against it
+    and pass on only their own best ``top_n`` per query.  More queries than fit one block take
+    further scans, one block after the other.
     """
     if top_n < 1:
         raise ValueError("top_n must be at least 1")
-    if measure not in ("cosine", "dot", "euclidean"):
+    if measure not in MEASURES:
         raise ValueError(f"unknown measure {measure!r}")
     wanted = vectors.join(words.select("tok").distinct(), "tok", "left_semi")
     n, width = wanted.agg(F.count("*"), F.max(F.size("vec"))).first()
@@ -120,6 +133,7 @@ def most_similar_batch(
 
 
 def _best_of_block(vectors: DataFrame, probes: DataFrame, top_n: int, measure: str) -> DataFrame:
+    """The best of one block of queries, as a written table: the next block is only sent when it is done."""
     found = probes.select("id", "tok", "vec").toArrow().combine_chunks()
     names = found.column("tok").to_pylist()
     ids = found.column("id").to_numpy()
@@ -133,37 +147,70 @@ def _best_of_block(vectors: DataFrame, probes: DataFrame, top_n: int, measure: s
 
     def best(batches):
         names, ids, queries = shared.value
+        kept = _Best(top_n)
         for batch in batches:
             other_ids = batch.column("id").to_numpy(zero_copy_only=False)
-            scores = _scores(queries, stack_vectors(batch.column("vec")), measure)
-            scores[ids[:, None] == other_ids[None, :]] = np.nan
-            # best first; ties by id because the sort is stable over ids in order
-            by_id = np.argsort(other_ids, kind="stable")
-            order = by_id[np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :top_n]]
-            picked = np.take_along_axis(scores, order, axis=1)
-            q, j = np.nonzero(~np.isnan(picked))
-            chosen = pa.array(order[q, j])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[i] for i in q], pa.string()),
-                    batch.column("id").take(chosen).cast(pa.int32()),
-                    batch.column("tok").take(chosen),
-                    pa.array(picked[q, j], pa.float64()),
-                ],
-                names=["word", "id", "tok", "similarity"],
-            )
-
-    narrow = vectors.select(F.col("id").cast("int").alias("id"), "tok", "vec")
-    scored = narrow.mapInArrow(best, "word string, id int, tok string, similarity double")
+            others = stack_vectors(batch.column("vec"))
+            for a, b in tiles(len(queries), len(others)):
+                scores = _scores(queries[a], others[b], measure)
+                scores[ids[a][:, None] == other_ids[b][None, :]] = np.nan
+                kept.add(a.start, scores, other_ids[b])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([names[i] for i in kept.query], pa.string()),
+                pa.array(kept.other, pa.int32()),
+                pa.array(kept.score, pa.float64()),
+            ],
+            names=["word", "id", "similarity"],
+        )
+
+    narrow = vectors.select(F.col("id").cast("int").alias("id"), "vec")
+    scored = narrow.mapInArrow(best, "word string, id int, similarity double")
     w = Window.partitionBy("word").orderBy(F.col("similarity").desc(), "id")
-    return scored.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= top_n).drop("__rn")
+    top = scored.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= top_n).drop("__rn")
+    words = vectors.select(F.col("id").cast("int").alias("id"), "tok")
+    written = materialize(top.join(words, "id").select("word", "id", "tok", "similarity"), "neighbors")
+    shared.unpersist()
+    return written
+
+
+def tiles(queries: int, others: int, cells: int = TILE_CELLS):
+    """Slices of queries and of other rows that meet in at most ``cells`` scores."""
+    wide = max(1, min(others, 1024))
+    tall = max(1, cells // wide)
+    for b in range(0, others, wide):
+        for a in range(0, queries, tall):
+            yield slice(a, min(a + tall, queries)), slice(b, min(b + wide, others))
+
+
+class _Best:
+    """The best ``top_n`` of each query so far; equal scores go by id."""
+
+    def __init__(self, top_n: int) -> None:
+        self.top_n = top_n
+        self.query, self.other, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def add(self, first: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        valid = np.where(np.isnan(scores), -np.inf, scores)
+        if valid.shape[1] > self.top_n:
+            # every score that ties with the last of the best is still a candidate
+            least = np.partition(valid, -self.top_n, axis=1)[:, -self.top_n]
+            q, j = np.nonzero((valid >= least[:, None]) & (valid > -np.inf))
+        else:
+            q, j = np.nonzero(valid > -np.inf)
+        query = np.concatenate([self.query, q + first])
+        other = np.concatenate([self.other, ids[j]])
+        score = np.concatenate([self.score, valid[q, j]])
+        order = np.lexsort((other, -score, query))
+        query, other, score = query[order], other[order], score[order]
+        begin = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.empty(0, np.int64)
+        rank = np.arange(len(query)) - np.repeat(begin, np.diff(np.r_[begin, len(query)]))
+        keep = rank < self.top_n
+        self.query, self.other, self.score = query[keep], other[keep], score[keep]
 
 
 def _scores(queries: np.ndarray, others: np.ndarray, measure: str) -> np.ndarray:
     if measure == "euclidean":
-        gap = queries[:, None, :] - others[None, :, :] if queries.size * len(others) < 1 << 22 else None
-        if gap is not None:
-            return -np.sqrt((gap**2).sum(axis=2))
         return np.stack([-np.sqrt(((q - others) ** 2).sum(axis=1)) for q in queries])
     scores = queries @ others.T
     if measure == "cosine":

@@ -41,6 +41,10 @@ class TermDocumentModel:
     def __getitem__(self, item) -> DataFrame:
         return termdoc.item_vector(self.td, self.vocab, self.doc_index, item)
 
+    def most_similar(self, word: str, top_n: int = 5, measure: str = "cosine") -> DataFrame:
+        cells = self.td.select(F.col("id").alias("row"), F.col("doc_ix").alias("col"), "value")
+        return similarity.most_similar_sparse(cells, self.vocab, word, top_n, measure)
+
     def save(self, path: str) -> None:
         tables = {"vocab": self.vocab, "doc_index": self.doc_index, "td": self.td}
         save_tables(self.td.sparkSession, path, tables, self.settings)
@@ -70,8 +74,8 @@ class WordWordModel:
 
     __getitem__ = word_vector
 
-    def most_similar(self, word: str, top_n: int = 5) -> DataFrame:
-        return similarity.most_similar_sparse(self.cells, self.vocab, word, top_n)
+    def most_similar(self, word: str, top_n: int = 5, measure: str = "cosine") -> DataFrame:
+        return similarity.most_similar_sparse(self.cells, self.vocab, word, top_n, measure)
 
     def svd_truncate(self, k: int = 250) -> EmbeddingModel:
         u, sigma = decomposition.svd_truncate(self.cells, self.vocab.count(), k)

@@ -390,6 +390,24 @@ SELECT (SELECT tok FROM vocab WHERE id = 10) AS word, tok AS neighbor,
        round(similarity, 6) AS similarity,
        row_number() OVER (ORDER BY similarity DESC, row)::INTEGER AS rank
 FROM sims JOIN vocab ON id = row ORDER BY similarity DESC, row LIMIT {TOP_N}"""
+    out["most_similar_sparse_dot"] = f"""{cc},
+pos AS (SELECT row, col, value FROM ppmi WHERE value > 0),
+dots AS (SELECT o.row AS id, sum(o.value * p.value) AS dot
+         FROM pos o JOIN pos p ON p.col = o.col AND p.row = 10 WHERE o.row <> 10 GROUP BY o.row)
+SELECT (SELECT tok FROM vocab WHERE id = 10) AS word, tok AS neighbor, round(coalesce(dot, 0.0), 6) AS similarity,
+       row_number() OVER (ORDER BY coalesce(dot, 0.0) DESC, id)::INTEGER AS rank
+FROM vocab LEFT JOIN dots USING (id) WHERE id <> 10 ORDER BY rank LIMIT {TOP_N}"""
+    out["most_similar_tfidf"] = f"""{td},
+norms AS (SELECT id, sqrt(sum(value * value)) AS norm FROM tfidf GROUP BY id),
+dots AS (SELECT o.id, sum(o.value * p.value) AS dot
+         FROM tfidf o JOIN tfidf p ON p.doc_ix = o.doc_ix AND p.id = 10 WHERE o.id <> 10 GROUP BY o.id),
+sims AS (SELECT id, coalesce(dot, 0) / (norm * (SELECT norm FROM norms WHERE id = 10)) AS similarity
+         FROM norms LEFT JOIN dots USING (id) WHERE id <> 10 AND norm > 0)
+SELECT (SELECT tok FROM vocab WHERE id = 10) AS word, tok AS neighbor, round(similarity, 6) AS similarity,
+       row_number() OVER (ORDER BY similarity DESC, id)::INTEGER AS rank
+FROM sims JOIN vocab USING (id) ORDER BY rank LIMIT {TOP_N}"""
+    out["svd_rows"] = f"""{cc}
+SELECT id, {SVD_K} AS dims, NOT EXISTS (SELECT 1 FROM ppmi WHERE row = vocab.id AND value > 0) AS is_zero FROM vocab"""
     out["svd_orthonormality"] = f"""
 SELECT i::INTEGER AS i, j::INTEGER AS j, CASE WHEN i = j THEN 1.0 ELSE 0.0 END::DOUBLE AS value
 FROM range({SVD_K}) a(i), range({SVD_K}) b(j)"""
@@ -411,6 +429,19 @@ SELECT count(*) AS n_vectors, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS mean_2, 0.0:
     out["seuclidean_distances"] = (
         f"{with_(CENTROIDS)} SELECT a, b, round(distance, 6) AS distance FROM distances"
     )
+    # one pair at a time: the nearest two clusters by the largest distance of their members
+    recursive = with_(CENTROIDS).replace("WITH", "WITH RECURSIVE", 1)
+    out["complete_linkage"] = f"""{recursive},
+steps AS (
+  SELECT 0 AS step, label::BIGINT AS point, label::BIGINT AS cluster, NULL::BIGINT AS a, NULL::BIGINT AS b, 0.0::DOUBLE AS height FROM centroids
+  UNION ALL
+  SELECT r.step + 1, r.point, CASE WHEN r.cluster = m.b THEN m.a ELSE r.cluster END, m.a, m.b, m.height
+  FROM steps r, (
+    SELECT least(x.cluster, y.cluster) AS a, greatest(x.cluster, y.cluster) AS b, max(distance) AS height
+    FROM steps x JOIN distances d ON x.point = d.a JOIN steps y ON y.point = d.b
+    WHERE x.cluster <> y.cluster GROUP BY 1, 2 ORDER BY height, 1, 2 LIMIT 1) m)
+SELECT a, b, round(max(height), 6) AS height, count(*) FILTER (cluster = a) AS size
+FROM steps WHERE step > 0 GROUP BY step, a, b"""
     out["complete_linkage_top"] = f"""{with_(CENTROIDS)}
 SELECT (SELECT count(*) FROM centroids) - 1 AS merges, (SELECT count(*) FROM centroids) AS root_size,
        round(max(distance), 6) AS root_height FROM distances"""

@@ -330,6 +330,13 @@ def tfidf(spark, sf):
     return termdoc.tf_idf(model.td, model.doc_index.count()).select("id", "doc_ix", rounded("value"))
 
 
+@query
+def most_similar_tfidf(spark, sf):
+    model = _term_doc(spark, sf).tf_idf()
+    best = model.most_similar(_tenth_word(model.vocab), TOP_N)
+    return best.select("word", "neighbor", rounded("similarity"), "rank")
+
+
 def top_terms(documents: DataFrame, min_count: int, n: int = TOP_N) -> DataFrame:
     """The ``n`` heaviest TF-IDF words of every document."""
     sents = materialize(corpus.sentences(corpus.read_lines(documents)), "sentences")
@@ -414,6 +421,13 @@ def most_similar_ppmi(spark, sf):
     return best.select("word", "neighbor", rounded("similarity"), "rank")
 
 
+@query
+def most_similar_sparse_dot(spark, sf):
+    model = _word_word(spark, sf).ppmi()
+    best = model.most_similar(_tenth_word(model.vocab), TOP_N, "dot")
+    return best.select("word", "neighbor", rounded("similarity"), "rank")
+
+
 def _svd(spark, sf):
     model = _word_word(spark, sf).ppmi()
     return decomposition.svd_truncate(model.cells, model.vocab.count(), SVD_K)
@@ -425,6 +439,13 @@ def svd_vectors(spark, sf):
     return _svd(spark, sf)[0].select("id", dims).select("id", "dim", rounded("value"))
 
 
+@query
+def svd_rows(spark, sf):
+    """Every word of the vocabulary has a row of all dimensions, of zeros if its matrix row is empty."""
+    squares = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
+    return _svd(spark, sf)[0].select("id", F.size("vec").alias("dims"), (squares == 0.0).alias("is_zero"))
+
+
 @query
 def svd_singular_values(spark, sf):
     sigma = _svd(spark, sf)[1]
@@ -542,7 +563,7 @@ def seuclidean_distances(spark, sf):
 @query
 def complete_linkage(spark, sf):
     merges = clustering.complete_linkage(clustering.seuclidean_distances(_label_means(spark, sf)))
-    return merges.select("a", "b", rounded("height"), "size", "round")
+    return merges.select("a", "b", rounded("height"), "size")
 
 
 @query
