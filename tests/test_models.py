@@ -303,7 +303,7 @@ def test_one_partition_is_sequential_training(spark, lm_data, optimizer, frozen)
     params = materialize(lm.init_params(spark, size, 2, 6, 5, seed=1), "init")
     local = materialize(rows.coalesce(1).orderBy("split", "file_ix", "file_slot").coalesce(1), "one")
     got, stats = lm.train_language_model(
-        local, params, size, epochs=2, lmbda=0.01, optimizer=optimizer, num_partitions=1,
+        local, params, size, epochs=2, lmbda=0.01, optimizer=optimizer, chunk_batches=1 << 40,
         learn_embeddings=not frozen,
     )
     ordered = local.where("split = 'train'").orderBy("file_ix", "file_slot").collect()
@@ -325,8 +325,8 @@ def test_training_on_partitions_lowers_held_out_cost(spark, lm_data, tmp_path):
     size, rows = lm_data
     params = materialize(lm.init_params(spark, size, 2, 8, 8, seed=1), "init")
     for how in (
-        dict(sync="average", num_partitions=3, rate=0.01),
-        dict(sync="gradient", num_partitions=3, steps_per_epoch=8, rate=0.05, path_to_save=str(tmp_path / "lm")),
+        dict(sync="average", chunk_batches=10, rate=0.01),
+        dict(sync="gradient", chunk_batches=10, steps_per_epoch=8, rate=0.05, path_to_save=str(tmp_path / "lm")),
     ):
         _, stats = lm.train_language_model(rows, params, size, epochs=3, **how)
         cost = {r["epoch"]: r["value"] for r in stats.where("split = 'validate' and metric = 'cost'").collect()}
@@ -340,7 +340,7 @@ def test_language_model_job(spark, small_lines, tmp_path):
     vectors = spark.createDataFrame([("the", [9.0] * 4)], "tok string, vec array<double>")
     model = jobs.train_language_model(
         small_lines, epochs=1, context_size=2, min_count=60, hidden_units=4, mini_batch_size=16,
-        dimensions=4, num_partitions=2, vectors=vectors, learn_embeddings=False,
+        dimensions=4, chunk_batches=20, vectors=vectors, learn_embeddings=False,
     )
     row = model.vocab.where("tok = 'the'").first()["id"]
     kept = model.params.where((F.col("layer") == 0) & (F.col("row") == row)).first()["vals"]
@@ -356,7 +356,7 @@ def test_language_model_job(spark, small_lines, tmp_path):
 def test_no_held_out_batches_record_null(spark, lm_data):
     size, rows = lm_data
     params = materialize(lm.init_params(spark, size, 2, 4, 4), "init")
-    _, stats = lm.train_language_model(rows.where("split = 'train'"), params, size, epochs=1, num_partitions=2)
+    _, stats = lm.train_language_model(rows.where("split = 'train'"), params, size, epochs=1)
     held = stats.where("split <> 'train'").collect()
     assert len(held) == 4 and all(r["value"] is None for r in held)
 
@@ -394,3 +394,26 @@ def test_command_lines(spark, tmp_path):
     assert LanguageModel.load(spark, path).stats.count() > 0
     assert len(list((tmp_path / "kept").glob("config=*"))) == 1
     assert spark.read.parquet(f"{path}/epochs").count() > 0
+
+
+def test_scores_do_not_depend_on_vocabulary_blocks(spark, lm_data):
+    size, rows = lm_data
+    params = lm.init_params(spark, size, 2, 6, 5, seed=1)
+    # a softmax away from zero
+    draw = F.transform("vals", lambda x: x + 0.1 * F.sin(F.col("row") + 1.0))
+    params = materialize(params.withColumn("vals", F.when(F.col("layer") == 2, draw).otherwise(F.col("vals"))), "init")
+    flat = rows.select("mb_id", "x_idx", F.posexplode("y").alias("i", "y"))
+    examples = materialize(flat.select("mb_id", "i", F.slice("x_idx", F.col("i") * 2 + 1, 2).alias("x_idx"), "y").where("mb_id < 3"), "ex")
+    w = lm.load_weights(params)
+    first = examples.first()
+    p = lm._forward(w, np.array([first["x_idx"]]) % size)[3][0]
+    found = []
+    for block in (7, 1 << 20):
+        scored = lm.score(examples, params, size, ["mb_id", "i"], block).orderBy("mb_id", "i").toPandas()
+        top = lm.predict_topk(examples, params, size, ["mb_id", "i"], 4, block).orderBy("mb_id", "i", "rank").toPandas()
+        found.append((scored, top))
+    (a, at), (b, bt) = found
+    assert (a["y_hat"] == b["y_hat"]).all() and np.allclose(a["p_y"], b["p_y"], rtol=1e-12)
+    assert (at["word_id"] == bt["word_id"]).all() and np.allclose(at["p"], bt["p"], rtol=1e-12)
+    mine = a[(a["mb_id"] == first["mb_id"]) & (a["i"] == first["i"])].iloc[0]
+    assert mine["p_y"] == pytest.approx(p[first["y"]]) and mine["y_hat"] == p.argmax()

@@ -534,15 +534,50 @@ SELECT id, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p F
     )
     joins = " ".join(f"JOIN vocab v{i} ON v{i}.id = w{i}" for i in range(CONTEXT))
     out["lm_embed_lookup"] = f"{ex} SELECT split, ex_id, {pair} FROM examples {joins}"
-    out["lm_score"] = f"""{ex}
-SELECT split, ex_id, y, 0 AS y_hat, round(1.0::DOUBLE / (SELECT count(*) FROM vocab), 9) AS p_y FROM batched"""
+    def drawn(name: str, *keys: str) -> str:
+        return f"({hash32(repr(name), *keys)} / 4294967296.0::DOUBLE - 0.5)"
+
+    inputs = [f"{x}" for i in range(CONTEXT) for x in (f"ln(v{i}.n)", f"length(v{i}.tok)")]
+    sums = [
+        " + ".join([f"{x} * {drawn('w1', str(i), str(j))}" for i, x in enumerate(inputs)] + [drawn("b1", str(j))])
+        for j in range(3)
+    ]
+    units = ", ".join(f"greatest({x}, 0.0) AS h{j}" for j, x in enumerate(sums))
+    # every distinct context once; per context the largest logits and their sum of exponentials
+    logit = "h0 * w0 + h1 * w1 + h2 * w2 + b"
+    network = f"""hidden AS MATERIALIZED (
+  SELECT w0 AS c0, w1 AS c1, w2 AS c2, w3 AS c3, {units}
+  FROM (SELECT DISTINCT w0, w1, w2, w3 FROM examples) {joins}),
+out_words AS MATERIALIZED (
+  SELECT id, {", ".join(f"{drawn('w2', 'id', str(j))} AS w{j}" for j in range(3))}, {drawn("b2", "id", "0")} AS b FROM vocab),
+tops AS MATERIALIZED (
+  SELECT c0, c1, c2, c3, any_value(h0) AS h0, any_value(h1) AS h1, any_value(h2) AS h2,
+         max({logit}) AS top, arg_max(id, {logit}, 3) AS ids, max({logit}, 3) AS logits
+  FROM hidden, out_words GROUP BY c0, c1, c2, c3),
+softmax AS MATERIALIZED (
+  SELECT t.c0, t.c1, t.c2, t.c3, any_value(t.h0) AS h0, any_value(t.h1) AS h1, any_value(t.h2) AS h2,
+         any_value(t.top) AS top, any_value(t.ids) AS ids, any_value(t.logits) AS logits, sum(exp({logit} - top)) AS total
+  FROM tops t, out_words GROUP BY t.c0, t.c1, t.c2, t.c3)"""
+    same = "c0 = w.w0 AND c1 = w.w1 AND c2 = w.w2 AND c3 = w.w3"
+    own = logit.replace("w0", "o.w0").replace("w1", "o.w1").replace("w2", "o.w2").replace("+ b", "+ o.b")
+    scored = f"""{ex}, {network},
+scored AS MATERIALIZED (
+  SELECT w.split, w.mb_id, w.ex_id, w.y, ids[1] AS y_hat, exp({own} - top) / total AS p_y
+  FROM (SELECT e.*, mb_id FROM batched JOIN examples e USING (split, ex_id)) w
+  JOIN softmax ON {same} JOIN out_words o ON o.id = w.y)"""
+    out["lm_score"] = f"{scored} SELECT split, ex_id, y, y_hat, round(p_y, 9) AS p_y FROM scored"
+    out["l2_norm"] = f"""{lm_vocab}
+SELECT round(0.5 * 0.01 * sum(ln(n) ** 2 + length(tok) ** 2), 6) AS penalty FROM vocab"""
+    out["lm_cost"] = f"""{scored}
+SELECT round(avg(cost), 6) AS cost FROM (SELECT avg(-ln(p_y)) AS cost FROM scored GROUP BY split, mb_id)"""
+    out["lm_accuracy"] = f"""{scored}
+SELECT split, round(avg(hit), 6) AS accuracy
+FROM (SELECT split, avg((y = y_hat)::INTEGER) AS hit FROM scored GROUP BY split, mb_id) GROUP BY split"""
+    out["lm_predict_topk"] = f"""{ex}, {network}
+SELECT split, ex_id, rank::INTEGER AS rank, ids[rank] AS word_id, round(exp(logits[rank] - top) / total, 9) AS p
+FROM (SELECT *, unnest([1, 2, 3]) AS rank FROM examples w JOIN softmax ON {same})"""
     out["lm_init_from_vectors"] = f"""{lm_vocab}
 SELECT 0 AS layer, 'w' AS name, id AS row, 2 AS width, round(ln(n) + length(tok), 6) AS total FROM vocab
 UNION ALL SELECT 2, 'w', id, 16, 0.0::DOUBLE FROM vocab
 UNION ALL SELECT 2, 'b', 0, count(*)::INTEGER, 0.0::DOUBLE FROM vocab"""
-    out["l2_norm"] = f"""{lm_vocab}
-SELECT round(0.5 * 0.01 * sum(ln(n) ** 2 + length(tok) ** 2), 6) AS penalty FROM vocab"""
-    out["lm_cost"] = f"{lm_vocab} SELECT round(ln(count(*)), 6) AS cost FROM vocab"
-    out["lm_accuracy"] = f"""{ex}
-SELECT split, round(avg((y = 0)::INTEGER), 6) AS accuracy FROM batched GROUP BY split"""
     return out

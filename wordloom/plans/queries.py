@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import vectors as vec
+from wordloom.functions.hashing import hash_uniform
 from wordloom.functions.text import regex_preprocessor
 from wordloom.operators import clustering, contexts, corpus, decomposition, encoding
 from wordloom.operators import cooccurrence as cooc
@@ -689,26 +690,49 @@ def lm_embed_lookup(spark, sf):
     return found.select("split", "ex_id", *[x[i].alias(f"x{i}") for i in range(2 * CONTEXT)])
 
 
-def _untrained_scores(spark, sf) -> DataFrame:
+def _hash_network(spark, vocab) -> DataFrame:
+    """A network that SQL can follow: (log count, length) per word, three hidden units, all else drawn by hash."""
+
+    def drawn(name, n, *keys):
+        return F.array(*[hash_uniform(SEED, F.lit(name), *keys, F.lit(j)) - 0.5 for j in range(n)])
+
+    def table(rows, layer, name, row, vals):
+        return rows.select(F.lit(layer).alias("layer"), F.lit(name).alias("name"), row.cast("int").alias("row"), vals.alias("vals"))
+
+    words, units = vocab.select("id", "tok", "n"), spark.range(2 * CONTEXT)
+    bias = vocab.agg(F.array_sort(F.collect_list(F.struct("id", drawn("b2", 1, F.col("id"))[0].alias("b")))).alias("b"))
+    parts = [
+        table(words, 0, "w", F.col("id"), F.array(F.ln("n"), F.length("tok").cast("double"))),
+        table(units, 1, "w", F.col("id"), drawn("w1", 3, F.col("id"))),
+        table(spark.range(1), 1, "b", F.lit(0), drawn("b1", 3)),
+        table(words, 2, "w", F.col("id"), drawn("w2", 3, F.col("id"))),
+        table(bias, 2, "b", F.lit(0), F.transform("b", lambda x: x["b"])),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return materialize(out, "lm-hash")
+
+
+def _hash_scores(spark, sf) -> DataFrame:
     vocab, batched = _batched(spark, sf)
-    size = vocab.count()
-    return lm.score(batched, _network(spark, size), size, ["split", "mb_id", "ex_id"])
+    return lm.score(batched, _hash_network(spark, vocab), vocab.count(), ["split", "mb_id", "ex_id"])
 
 
 @query
 def lm_score(spark, sf):
-    return _untrained_scores(spark, sf).select("split", "ex_id", "y", "y_hat", rounded("p_y", 9))
+    return _hash_scores(spark, sf).select("split", "ex_id", "y", "y_hat", rounded("p_y", 9))
 
 
 @query
 def lm_cost(spark, sf):
-    per_batch = lm.cost_and_accuracy(_untrained_scores(spark, sf), ["split", "mb_id"])
+    per_batch = lm.cost_and_accuracy(_hash_scores(spark, sf), ["split", "mb_id"])
     return per_batch.agg(F.round(F.avg("cost"), 6).alias("cost"))
 
 
 @query
 def lm_accuracy(spark, sf):
-    per_batch = lm.cost_and_accuracy(_untrained_scores(spark, sf), ["split", "mb_id"])
+    per_batch = lm.cost_and_accuracy(_hash_scores(spark, sf), ["split", "mb_id"])
     return per_batch.groupBy("split").agg(F.round(F.avg("accuracy"), 6).alias("accuracy"))
 
 
@@ -752,18 +776,10 @@ def lm_train_sgd(spark, sf):
 
 @query
 def lm_predict_topk(spark, sf):
-    """The likeliest next word of every context under a briefly trained network."""
+    """The three likeliest next words of every context."""
     vocab, examples = _examples(spark, sf)
-    examples = contexts.fixed(examples)
-    batched = contexts.fixed(contexts.minibatches(examples, BATCH, FILE_BATCHES, "split"))
-    slots = contexts.shuffle_in_file(batched, SEED, "split")
-    rows = materialize(
-        lm.batch_rows(contexts.shuffle_in_batch(batched, SEED, "split"), slots), "minibatches"
-    )
-    size = vocab.count()
-    params, _ = lm.train_language_model(rows, _network(spark, size), size, epochs=1)
-    top = lm.predict_topk(examples, params, size, ["split", "ex_id"], 1)
-    return top.select("split", "ex_id", "rank", "word_id", rounded("p"))
+    top = lm.predict_topk(examples, _hash_network(spark, vocab), vocab.count(), ["split", "ex_id"], 3)
+    return top.select("split", "ex_id", "rank", "word_id", rounded("p", 9))
 
 
 @query
