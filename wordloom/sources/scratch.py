@@ -38,4 +38,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing will read again; other frames are left alone."""
+    path = getattr(table, "scratch_path", None)
+    if path is not None:
+        spark = table.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
