@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from wordloom.llm.components import components
-from wordloom.sources.scratch import materialize
+from wordloom.sources.scratch import materialize, release
 
 # Hashes in one block of a large cluster.
 BLOCK = 1 << 21
@@ -267,12 +267,14 @@ def jaccard_components(
     signed = materialize(signatures(docs, size, key, text), "signatures")
     classes = signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = materialize(signed.join(classes, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
+    release(signed)
     near = clusters(docs, size, threshold, key, text)
     cluster = F.coalesce("component", "id").alias("cluster")
     members = named.where("n > 0 AND id = rep").join(near, F.col("id") == F.col("node"), "left").select("id", "n", cluster).distinct()
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("ids")).where("ids > 1")
     members = materialize(members.join(sizes.select("cluster"), "cluster"), "members")
     held = components(links(docs, members, size, threshold, key, text))
+    release(members)
     least = held.select(F.col("node").alias("rep"), "component")
     found = named.join(least, "rep", "left").select(
         F.col("id").cast(docs.schema[key].dataType).alias(key),
