@@ -11,8 +11,9 @@ when ``per * intersection >= least * union``.
    into one cluster.  A set with so many empty segments that the untouched ones could all be
    empty also gives its ``(1 - t) n + 1`` least hashes, of which two linked sets share one.
 3. Each cluster is laid out in tiles of size bands.  In a tile every set has a hashed bitmap;
-   the bits in which two bitmaps differ bound the overlap from above, and only pairs under
-   the bound have their sorted arrays intersected.  Pairs that already hang together are left
+   the bits in which two bitmaps differ bound the overlap from above.  Bitmaps, being small, go through the
+   tiles first and split clusters that only share a passage; of what is left, texts are read again
+   and pairs under the bound have their sorted arrays intersected.  Pairs that already hang together are left
    out, and a tile returns a spanning forest, never its pairs.  A large cluster is cut in blocks and
    gets a tile for each two blocks of a band, so no task holds more than two blocks.
 4. Components of the tiles' forests are the answer.
@@ -138,25 +139,49 @@ def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Data
         yield pd.concat(open_rows)
 
 
+def bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """A set's hashed bitmap of ``bits`` bits, a power of two from 64 on, as whole words."""
+    row = np.zeros(bits // 64, np.uint64)
+    at = mixed(hashes) & np.uint64(bits - 1)
+    np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.intp), np.uint64(1) << (at & np.uint64(63)))
+    return row
+
+
+def folded(row: np.ndarray, words: int) -> np.ndarray:
+    """The same set's bitmap of ``words`` words, a power of two of at most its own."""
+    while len(row) > words:
+        row = row[: len(row) // 2] | row[len(row) // 2 :]
+    return row
+
+
+def band_bits(band: int) -> int:
+    """Bits of the bitmaps compared in a band: two to four for each hash of its largest set."""
+    bits = 64
+    while bits < 2 * int(BAND_STARTS[band]):
+        bits *= 2
+    return bits
+
+
 def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of bits for each set, some eight bits for each hash of the largest."""
+    """One row of bits for each set, eight or more for each hash of the largest."""
     bits = 64
     while bits < 8 * max(map(len, sets)):
         bits *= 2
-    rows = np.zeros((len(sets), bits // 64), np.uint64)
-    for row, hashes in zip(rows, sets):
-        at = mixed(hashes) & np.uint64(bits - 1)
-        np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.intp), np.uint64(1) << (at & np.uint64(63)))
-    return rows
-
-
-def forest(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], t: Threshold) -> list[tuple[int, int]]:
-    """Links that hold a tile's components together.  ``sides``: 0 for sets of both blocks, else 1 or 2; blocks 1 and 2 are compared with each other only."""
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    ids, sides, sets = ids[order], sides[order], [sets[i] for i in order]
-    sizes, maps, part = np.array([len(s) for s in sets]), bitmaps(sets), np.arange(len(sets))
+    return np.stack([bitmap(s, bits) for s in sets])
+
+
+def forest(
+    ids: np.ndarray, sides: np.ndarray, sizes: np.ndarray, maps: np.ndarray, sets: list[np.ndarray] | None, t: Threshold
+) -> list[tuple[int, int]]:
+    """Links that hold a tile's components together; without ``sets``, pairs that may link by their bitmaps.
+
+    ``sides``: 0 in a tile of one block, else 1 or 2; blocks 1 and 2 are compared with each other only.
+    """
+    order = np.argsort(sizes, kind="stable")
+    ids, sides, sizes, maps, part = ids[order], sides[order], sizes[order], maps[order], np.arange(len(sizes))
+    sets = [sets[i] for i in order] if sets is not None else None
     found = []
-    for i in range(1, len(sets)):
+    for i in range(1, len(sizes)):
         n = int(sizes[i])
         low = int(np.searchsorted(sizes, -(-t.least * n // t.per)))
         if low >= i:
@@ -167,29 +192,29 @@ def forest(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], t: Thresh
         close = np.flatnonzero(near)
         for j in low + close[np.argsort(apart[close], kind="stable")]:
             if part[j] != part[i]:
-                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if t.linked(shared, n + int(sizes[j])):
+                if sets is None or t.linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), n + int(sizes[j])):
                     found.append((int(ids[i]), int(ids[j])))
                     part[part == part[i]] = part[j]
     return found
 
 
-def signatures(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """id, n, digest (of the whole set) of every row."""
+def signatures(docs: DataFrame, size: int, t: Threshold, key: str, text: str) -> DataFrame:
+    """id, n, digest (of the whole set) and bitmap (as wide as its bands need) of every row."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(size)
         for batch in batches:
             sets = [shingle(x) for x in batch["text"]]
             names = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "digest": names})
+            maps = [bitmap(s, band_bits(bands(len(s), t)[-1])).view(np.int64) for s in sets]
+            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "digest": names, "map": maps})
 
     source = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
-    return source.mapInPandas(sign, "id bigint, n bigint, digest binary")
+    return source.mapInPandas(sign, "id bigint, n bigint, digest binary, map array<bigint>")
 
 
 def clusters(docs: DataFrame, size: int, t: Threshold, key: str, text: str) -> DataFrame:
-    """node, component of ids that share a block key, as by ``components``."""
+    """a, b: ids that share a block key, each with the least of them."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(size)
@@ -209,25 +234,52 @@ def clusters(docs: DataFrame, size: int, t: Threshold, key: str, text: str) -> D
     source = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     rows = source.mapInPandas(keyed, "block bigint, id bigint")
     first = F.first("id").over(Window.partitionBy("block").orderBy("id"))
-    return components(rows.select("id", first.alias("first")).where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b")))
+    return rows.select("id", first.alias("first")).where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
 
 
-def links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, key: str, text: str) -> DataFrame:
-    """a, b: links that hold together what links within the clusters of ``members`` (id, cluster, n)."""
+PLACE = ["cluster", "band", "one", "two"]
+
+
+def tiles_of(members: DataFrame, t: Threshold, block: int, per_hash: float) -> DataFrame:
+    """id, cluster, band, one, two, side: the tiles that each of ``members`` (id, cluster, n) stands in.
+
+    A block holds some ``block`` words, of which a set has ``per_hash`` for each hash, and 8192 sets at most.
+    """
 
     def banded(n: pd.Series) -> pd.Series:
         return n.map(lambda x: bands(int(x), t))
 
     spread = F.pandas_udf(banded, "array<int>")
     rows = members.select("id", "cluster", "n", F.explode(spread("n")).alias("band"))
-    mass = rows.groupBy("cluster", "band").agg(F.sum("n").alias("mass"), F.count(F.lit(1)).alias("ids"))
-    mass = mass.where("ids > 1").select("cluster", "band", F.ceil(F.col("mass") / BLOCK).cast("int").alias("blocks"))
+    mass = rows.groupBy("cluster", "band").agg(F.sum("n").alias("mass"), F.count(F.lit(1)).alias("ids")).where("ids > 1")
+    blocks = F.ceil(F.greatest(F.col("mass") * per_hash / block, F.col("ids") / 8192)).cast("int")
+    mass = mass.select("cluster", "band", blocks.alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     tile = F.transform(every, lambda x: F.struct(F.least(own, x).alias("one"), F.greatest(own, x).alias("two"), (own < x).alias("is_one")))
-    tiles = rows.join(mass, ["cluster", "band"]).select("id", "cluster", "band", F.explode(tile).alias("t"))
+    laid = rows.join(mass, ["cluster", "band"]).select("id", "cluster", "band", F.explode(tile).alias("t"))
     side = F.when(F.col("t.one") == F.col("t.two"), 0).when(F.col("t.is_one"), 1).otherwise(2)
-    tiles = tiles.select("id", F.struct("cluster", "band", "t.one", "t.two", side.alias("side")).alias("tile"))
+    return laid.select("id", "cluster", "band", "t.one", "t.two", side.alias("side"))
+
+
+def near(members: DataFrame, t: Threshold, block: int) -> DataFrame:
+    """a, b: pairs that hold together what may link by the bitmaps, within the clusters of ``members`` (id, cluster, n, map)."""
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in groups(batches, PLACE):
+            words = band_bits(int(rows["band"].iloc[0])) // 64
+            maps = np.stack([folded(m.view(np.uint64), words) for m in rows["map"]])
+            found = forest(rows["id"].to_numpy(), rows["side"].to_numpy(), rows["n"].to_numpy(), maps, None, t)
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+    laid = tiles_of(members, t, block, 1 / 16).join(members.select("id", "n", "map"), "id")
+    dealt = laid.select(*PLACE, "side", "id", "n", "map").repartition(*PLACE).sortWithinPartitions(*PLACE)
+    return dealt.mapInPandas(joined, "a bigint, b bigint")
+
+
+def links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, key: str, text: str) -> DataFrame:
+    """a, b: links that hold together what links within the clusters of ``members`` (id, cluster, n)."""
+    tiles = tiles_of(members, t, BLOCK, 1.0).select("id", F.struct(*PLACE, "side").alias("tile"))
     wanted = materialize(tiles.groupBy("id").agg(F.collect_list("tile").alias("tiles")), "tiles")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,8 +297,10 @@ def links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, key: str
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: list[tuple[int, int]] = []
-        for rows in groups(batches, ["cluster", "band", "one", "two"]):
-            found += forest(rows["id"].to_numpy(), rows["side"].to_numpy(), [h.view(np.uint64) for h in rows["hashes"]], t)
+        for rows in groups(batches, PLACE):
+            sets = [h.view(np.uint64) for h in rows["hashes"]]
+            sizes = np.array([len(h) for h in sets])
+            found += forest(rows["id"].to_numpy(), rows["side"].to_numpy(), sizes, bitmaps(sets), sets, t)
             if len(found) > 10_000:
                 yield pd.DataFrame(found, columns=["a", "b"])
                 found = []
@@ -255,8 +309,7 @@ def links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, key: str
     # what is wanted grows with the corpus, so it is not sent to every task even where it is still small
     source = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).join(wanted.hint("merge"), "id")
     laid = source.mapInPandas(sets, "cluster bigint, band int, one int, two int, side int, id bigint, hashes array<bigint>")
-    place = ["cluster", "band", "one", "two"]
-    return laid.repartition(*place).sortWithinPartitions(*place).mapInPandas(joined, "a bigint, b bigint")
+    return laid.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(joined, "a bigint, b bigint")
 
 
 def jaccard_components(
@@ -264,15 +317,23 @@ def jaccard_components(
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id (the least id reachable by links)."""
     lost, docs = docs.where(F.col(key).isNull()), docs.where(F.col(key).isNotNull())
-    signed = materialize(signatures(docs, size, key, text), "signatures")
+    signed = materialize(signatures(docs, size, threshold, key, text), "signatures")
     classes = signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = materialize(signed.join(classes, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
+    reps = signed.join(named.where("n > 0 AND id = rep").select("id"), "id", "left_semi").select("id", "n", "map").dropDuplicates(["id"])
+    reps = materialize(reps, "representatives")
     release(signed)
-    near = clusters(docs, size, threshold, key, text)
-    cluster = F.coalesce("component", "id").alias("cluster")
-    members = named.where("n > 0 AND id = rep").join(near, F.col("id") == F.col("node"), "left").select("id", "n", cluster).distinct()
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("ids")).where("ids > 1")
-    members = materialize(members.join(sizes.select("cluster"), "cluster"), "members")
+
+    def grouped(found: DataFrame) -> DataFrame:
+        """``reps`` with their clusters, of which those of one member are left out."""
+        placed = reps.join(found, F.col("id") == F.col("node")).select("id", "n", "map", F.col("component").alias("cluster"))
+        heads = found.select(F.col("component").alias("id")).distinct()
+        return placed.unionByName(reps.join(heads, "id").withColumn("cluster", F.col("id")))
+
+    # first by shared segments, then, within these, by bitmaps; texts are only read again for what is left
+    coarse = components(clusters(docs, size, threshold, key, text).join(reps.select(F.col("id").alias("a")), "a", "left_semi"))
+    fine = components(near(grouped(coarse), threshold, BLOCK))
+    members = materialize(grouped(fine).select("id", "n", "cluster"), "members")
     held = components(links(docs, members, size, threshold, key, text))
     release(members)
     least = held.select(F.col("node").alias("rep"), "component")
