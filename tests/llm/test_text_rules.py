@@ -133,6 +133,41 @@ def test_substring_dedup_keeps_the_best_rank(spark):
         substring_dedup.dedup_units(docs, unit="page")
 
 
+def test_passages_of_short_lines_go(spark, rng, tmp_path):
+    from wordloom.llm.queries import QUERIES
+
+    pool = [noise(rng, n) for n in (1, 2, 3, 4, 30)] + ["--", "  x y"]
+    texts = ["".join(rng.choice(pool) + rng.choice(["\n", "\n\n", "\n \n  "]) for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    texts += ["one day\nthe rain came\n\nZ", "new\n\none\nday the rain came\n--\n\nend", "a b\n\n--\na b", ""]
+    table(spark, [*texts, None]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in QUERIES["op2_passage_dedup"](spark, str(tmp_path)).collect()}
+    seen = {}
+    words_of = lambda x: tuple(re.findall(rb"[0-9a-z\x80-\xff]+", x.encode().lower()))
+    for i, text in enumerate(texts):
+        lines, at = [], 0
+        for line in text.split("\n"):
+            lines.append((at, at + len(line)))
+            at += len(line) + 1
+        blocks, block = [], []
+        for a, b in lines:
+            if text[a:b].strip():
+                block.append((a, b))
+            elif block:
+                blocks.append(block)
+                block = []
+        blocks += [block] if block else []
+        pieces = [[s] for s in lines] + [b for b in blocks if sum(bool(words_of(text[x:y])) for x, y in b) > 1]
+        gone = set()
+        for piece in sorted(pieces, key=lambda p: (p[0][0], len(p))):
+            words = words_of(text[piece[0][0] : piece[-1][1]])
+            if words and seen.setdefault(words, (i, piece)) != (i, piece):
+                gone.update(s for s in piece if s[0] < s[1])
+        assert got[i]["removed"] == ",".join(f"{a}:{b}" for a, b in lines if (a, b) in gone), text
+        assert got[i]["n_units"] == len(lines)
+    assert got[41]["text"] == "new\n\n\nend" and got[42]["text"] == "a b\n\n--\n"
+    assert got[None]["text"] == "no id at all" and got[len(texts)]["text"] is None
+
+
 def test_quality_rules_equal_brute_force(spark, rng):
     texts = [noise(rng, n, w) for n in (0, 5, 19, 20, 60, 300) for w in (2, 6)]
     texts += ["a b c d e f g h " * 4, "line one\nline one\n\n \nline one", "#$ *x*", None, "ab " * 5000, "w " + "x" * 100_000]

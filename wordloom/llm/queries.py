@@ -19,6 +19,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_units(_table(spark, sf_dir, "documents"))
 
 
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op2_passage_dedup": op2_passage_dedup,
     "op3_pii": op3_pii,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_jaccard_join": op5_jaccard_join,
