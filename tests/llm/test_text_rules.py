@@ -7,6 +7,7 @@ import string
 
 import pytest
 
+import corpus_pipeline
 from wordloom.llm import decontaminate, licenses, line_dedup, quality_rules, substring_dedup
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -93,6 +94,20 @@ def test_line_dedup_drops_only_boilerplate(spark):
     assert rows[0]["words"] == "x" and len(rows) == 15
 
 
+def test_boilerplate_reaches_the_gap_and_small_hosts(spark, tmp_path):
+    from wordloom.llm.queries import QUERIES
+
+    texts = [f"page {i}" + ("\nmenu" if i < 8 else "\nnews" if i < 14 else "") for i in range(100)]
+    texts += ["one\nfoot", "two\nfoot", "same\ncopy", "same\ncopy", "alone", "x\nfoot\npart", "y\nfoot\npart", "z\nfoot", None]
+    sources = ["big"] * 100 + ["two"] * 2 + ["copies"] * 2 + ["one"] + ["three"] * 3 + ["null"]
+    table(spark, texts, sources).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["text"] for r in QUERIES["op7_boilerplate_dedup"](spark, str(tmp_path)).collect()}
+    assert [got[0], got[8], got[99]] == ["page 0", "page 8\nnews", "page 99"]
+    assert [got[i] for i in range(100, 109)] == ["one", "two", "same\ncopy", "same\ncopy", "alone", "x\npart", "y\npart", "z", None]
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.without_boilerplate(spark, docs, "").collect()} == got
+
+
 def test_line_dedup_of_empty_table(spark):
     assert line_dedup.dedup_lines(table(spark, []).where("false")).count() == 0
 

@@ -45,6 +45,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
 
 
+def op7_boilerplate_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_boilerplate(_table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
+    "op7_boilerplate_dedup": op7_boilerplate_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
