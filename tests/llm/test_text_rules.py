@@ -84,6 +84,44 @@ def test_proximity_finds_near_terms_in_any_order(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == [1, 2]
 
 
+def test_near_contamination_equals_brute_force(spark, monkeypatch, tmp_path):
+    from wordloom.llm.queries import QUERIES
+
+    rng = random.Random(4)
+    monkeypatch.setattr(decontaminate, "NEAR_PHRASES", 7)
+    monkeypatch.setattr(decontaminate, "NEAR_PLACES", 50)
+    pool = [f"w{i}" for i in range(60)]
+    items = [" ".join(rng.choice(pool) for _ in range(n)) for n in (1, 2, 4, 5, 9, 10, 14, 25)] + ["", None]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(30)] + [None, ""]
+    for item in items[3:8]:
+        w = alnum(item)
+        for gap in (0, 1, 3, 30):
+            texts.append(" ".join(x + " zz" * gap * (k == 4) for k, x in enumerate(w)))
+        texts += [" ".join("É" if k % 10 == 3 else x for k, x in enumerate(w)), " ".join(["a"] * 50 + w[::-1])]
+        texts.append(" ".join("É" if k % 5 == 3 else x for k, x in enumerate(w)))
+    spark.createDataFrame([*enumerate(items)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    table(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in QUERIES["op1_decontamination_near"](spark, str(tmp_path)).collect()}
+    counts = {}
+    for text in [*texts, "no id at all"]:
+        for x in alnum(text):
+            counts[x] = counts.get(x, 0) + 1
+    changed = 0
+    for i, text in enumerate(texts):
+        w, want = alnum(text), set()
+        for k, item in enumerate(items):
+            v = alnum(item)
+            for s in range(max(len(v) - 9, 1) if v else 0):
+                phrase = sorted(set(v[s : s + 10]), key=lambda x: (counts.get(x, 0), x))
+                spare = int(len(phrase) >= 5)
+                for p, x in enumerate(w):
+                    if x in phrase[: 1 + spare] and len(set(phrase) - set(w[max(0, p - 20) : p + 21])) <= spare:
+                        want.add(str(k))
+        assert got[i]["near_items"] == ",".join(sorted(want)) and got[i]["n_near"] == len(want), text
+        changed += got[i]["n_near"] > got[i]["n_items"]
+    assert changed > 5 and got[None]["n_near"] == 0
+
+
 def test_line_dedup_drops_only_boilerplate(spark):
     texts = [f"menu \nbody {i}\n\n{'rare' if i < 2 else i}\nmenu" for i in range(10)] + ["menu", "menu\nother", None, ""]
     sources = ["a"] * 10 + ["b", None, "a", "a"]

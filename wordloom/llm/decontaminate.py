@@ -6,12 +6,22 @@ rarest terms: the posting lists of the two rarest are shifted by the terms' offs
 intersected on (document, start), and what is left is compared word by word.  Documents never
 meet each other and a hot term is only listed for phrases that have no rarer one.
 
+Near matches (``near_matches``) are places where all distinct terms of a phrase stand within ``slop``
+words of one of its rarest, in any order, but for one term of a phrase of ``TOLERANT`` and more.  With
+one missing, one of the two rarest is still there, so the places of these two are looked up in a
+positional list of each document, and all other terms are counted around them.
+
 Null or empty texts have no words and no hits; items without words are no phrase.  Rows without
 ``doc_id`` are never hit.  Rows that repeat a ``doc_id`` each give a result row and share their hits.  Only ``doc_id``/``item_id`` and ``text`` are read, other columns are ignored.
 """
 
 from __future__ import annotations
 
+import string
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -22,6 +32,11 @@ from wordloom.sources.scratch import materialize
 WINDOW = 10
 # A table of the test items is broadcast up to so many rows; else it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+# Near matches: words between a rare term and the others at most; distinct terms from which one may be missing.
+SLOP, TOLERANT = 20, 5
+# Phrases that are sent to the workers at once, and places that are looked at together.
+NEAR_PHRASES, NEAR_PLACES = 100_000, 1 << 16
+TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b) in string.ascii_lowercase + string.digits else 32 for b in range(256))
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -121,6 +136,81 @@ def proximity_matches(phrases: DataFrame, index: DataFrame, slop: int = 20, term
     return full.select("phrase_id", "doc_id", "pos").unionByName(single.select("phrase_id", "doc_id", "pos"))
 
 
+class NearIndex:
+    """Phrases by the terms they are looked up from: flat arrays of distinct terms, rarest first."""
+
+    def __init__(self, phrases: list[tuple[int, list[str]]]) -> None:
+        names = sorted({t for _, terms in phrases for t in terms})
+        self.term = {t.encode(): i for i, t in enumerate(names)}
+        self.ids = np.array([i for i, _ in phrases], np.int64)
+        self.size = np.array([len(terms) for _, terms in phrases], np.intp)
+        self.least = np.where(self.size >= TOLERANT, self.size - 1, self.size)
+        self.terms = np.full((len(phrases), self.size.max(initial=1)), -1, np.int64)
+        for row, (_, terms) in zip(self.terms, phrases):
+            row[: len(terms)] = [self.term[t.encode()] for t in terms]
+        heads = [(self.term[t.encode()], p) for p, (_, terms) in enumerate(phrases) for t in terms[: 2 if len(terms) >= TOLERANT else 1]]
+        head = np.array(sorted(heads), np.int64).reshape(-1, 2)
+        self.listed = head[:, 1]
+        self.first = np.searchsorted(head[:, 0], np.arange(len(names) + 1))
+
+    def matches(self, text: str | None, slop: int) -> Iterator[np.ndarray]:
+        """Numbers of phrases (with repeats) that stand near each other somewhere in ``text``."""
+        words = (text or "").encode("utf-8", "surrogatepass").translate(TO_WORDS).split()
+        get = self.term.get
+        coded = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        pos = np.flatnonzero(coded >= 0)
+        term = coded[pos]
+        room = len(words) + 2 * slop + 2
+        places = np.append(np.sort(term * room + pos), np.iinfo(np.int64).max)
+        many = self.first[term + 1] - self.first[term]
+        pos, term, many = pos[many > 0], term[many > 0], many[many > 0]
+        ends = np.cumsum(many)
+        for lo in range(0, int(ends[-1]) if len(ends) else 0, NEAR_PLACES):
+            at = np.arange(lo, min(lo + NEAR_PLACES, int(ends[-1])))
+            row = np.searchsorted(ends, at, "right")
+            phrase = self.listed[self.first[term[row]] + at - (ends[row] - many[row])]
+            middle = pos[row]
+            missing = np.zeros(len(at), np.intp)
+            for k in range(self.terms.shape[1]):
+                wanted = self.terms[phrase, k]
+                low = wanted * room + middle - slop
+                # (a term's stretch is longer than any reach over its ends, so no other term answers)
+                near = places[np.searchsorted(places, np.maximum(low, wanted * room))] <= low + 2 * slop
+                missing += (wanted >= 0) & ~near
+                stay = missing <= self.size[phrase] - self.least[phrase]
+                phrase, middle, missing = phrase[stay], middle[stay], missing[stay]
+            yield np.unique(phrase)
+
+
+def near_matches(docs: DataFrame, phrases: DataFrame, index: DataFrame, slop: int = SLOP) -> DataFrame:
+    """doc_id, phrase_id (may repeat): documents where a phrase's terms stand near each other.
+
+    Phrases go to the workers in blocks, one scan of ``docs`` each.
+    """
+    counts = postings(index).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    terms = phrases.select("phrase_id", F.explode(F.array_distinct("phrase")).alias("term"))
+    known = terms.join(counts, "term", "left").select("phrase_id", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term").alias("t"))
+    ordered = known.groupBy("phrase_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    blocks = (phrases.count() - 1) // NEAR_PHRASES + 1
+    ordered = ordered.withColumn("block", F.pmod(F.xxhash64("phrase_id"), F.lit(max(blocks, 1))))
+    ordered = materialize(ordered.select("phrase_id", "block", F.col("t.term").alias("terms")), "near-phrases")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.sparkSession.createDataFrame([], f"doc_id {kind}, phrase_id bigint")
+    for block in range(blocks):
+        looked = NearIndex([(r["phrase_id"], r["terms"]) for r in ordered.where(F.col("block") == block).collect()])
+
+        def run(batches: Iterator[pd.DataFrame], looked: NearIndex = looked) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                hits = [(row, phrase) for row, text in zip(batch["doc_id"], batch["text"]) for phrase in looked.matches(text, slop) if len(phrase)]
+                if hits:
+                    rows = pd.Series([row for row, _ in hits]).repeat([len(phrase) for _, phrase in hits])
+                    yield pd.DataFrame({"doc_id": rows.to_numpy(), "phrase_id": looked.ids[np.concatenate([phrase for _, phrase in hits])]})
+
+        here = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+        found = found.unionByName(here.mapInPandas(run, f"doc_id {kind}, phrase_id bigint"))
+    return found
+
+
 def _covered(spans: Column) -> Column:
     """Positions covered by ``spans``, an array of (start, end) sorted by start."""
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
@@ -132,8 +222,9 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, start, add, lambda done: done["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: n_words, n_hit (words inside windows of items), n_items, items_sha256, contaminated."""
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, near: bool = False) -> DataFrame:
+    """Per document: n_words, n_hit (words inside windows of items), n_items, items_sha256, contaminated;
+    with ``near`` also n_near and near_items (ids joined by commas) of the items with a window matched nearly or exactly."""
     of_items = materialize(item_windows(items, window), "windows")
     # numbered once and written, so that every reader sees the same numbers
     phrases = of_items.select("phrase").distinct().select(F.monotonically_increasing_id().alias("phrase_id"), "phrase")
@@ -149,13 +240,23 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     base = index.where(F.col("term").isNull()).select("doc_id", F.col("n_words").cast("bigint").alias("n_words"))
     ids = F.coalesce("items", F.array().cast("array<string>"))
     hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
-    return base.join(hits, "doc_id", "left").join(listed, "doc_id", "left").select(
+    joined, more = base.join(hits, "doc_id", "left").join(listed, "doc_id", "left"), []
+    if near:
+        # (an exact place is a near one unless its phrase repeats one term further than the slop)
+        close = near_matches(docs, phrases, index).unionByName(found.select("doc_id", "phrase_id")).distinct()
+        close = close.join(named, "phrase_id").select("doc_id", "item_id").distinct()
+        close = close.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("close"))
+        joined = joined.join(close, "doc_id", "left")
+        close_ids = F.coalesce("close", F.array().cast("array<string>"))
+        more = [F.size(close_ids).cast("bigint").alias("n_near"), F.array_join(close_ids, ",").alias("near_items")]
+    return joined.select(
         "doc_id",
         "n_words",
         hit.alias("n_hit"),
         F.size(ids).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
+        *more,
     )
 
 

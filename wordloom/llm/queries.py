@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op1_decontamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), near=True)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_units(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op1_decontamination_near": op1_decontamination_near,
     "op2_substring_dedup": op2_substring_dedup,
     "op2_passage_dedup": op2_passage_dedup,
     "op3_pii": op3_pii,
