@@ -167,6 +167,14 @@ def personal(rng):
     return f'call +1 ({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)} or a.{rng.randrange(99)}@mail.example.com'
 
 
+def test_long_secrets_are_proposed_whole():
+    secret = "a1B2c3D4_-" * 400
+    for text, at in ((f"token = {secret} end", 8), (f"see {secret} end", 4), (f"password: {secret}.{secret}", 10)):
+        end = len(text) - (4 if text.endswith(" end") else 0)
+        assert ("secret", at, end) in pii.candidates(text, [], [])
+    assert pii.redact(f"token = {secret}", [("secret", 8, 8 + len(secret))]) == "token = [secret]"
+
+
 def test_personal_data_adds_named_secrets(spark):
     rng = random.Random(9)
     texts = []

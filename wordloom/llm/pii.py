@@ -111,8 +111,8 @@ class Cover:
 # What the method may add: values that grant access, numbers that name a person, other contacts.
 EXTRA_KINDS = ("secret", "number", "contact")
 GENERATORS = (
-    ("secret", re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,256}(?![A-Za-z0-9_-])")),
-    ("secret", re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"']{6,256})")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}(?![A-Za-z0-9_-])")),
+    ("secret", re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"']{6,})")),
     ("number", re.compile(r"(?<![0-9A-Za-z])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])")),
     ("number", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
     ("contact", re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
