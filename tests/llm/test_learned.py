@@ -273,6 +273,16 @@ def test_toxicity_chain_finds_words_by_their_beginning(spark):
     assert kept.columns == docs.columns and 315 < kept.count() < 331
 
 
+def test_each_row_is_judged_by_its_own_text(spark):
+    docs, labels = labelled(spark)
+    bad, good = "the small river scumbags hill", "the small river"
+    rows = [(None, bad, "en", "s"), (None, good, "en", "s"), (7001, bad, "en", "s"), (7001, good, "en", "s"), (7002, None, None, None)]
+    kept = toxicity.drop_toxic(docs.union(spark.createDataFrame(rows, docs.schema)), labels)
+    left = [(r["doc_id"], r["text"]) for r in kept.collect() if r["doc_id"] is None or r["doc_id"] > 7000]
+    assert sorted(left, key=str) == sorted([(None, "x"), (None, good), (7001, good), (7002, None)], key=str)
+    assert kept.schema == docs.schema
+
+
 def test_later_models_see_out_of_fold_log_odds():
     rng = np.random.default_rng(4)
     n = 600

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -236,6 +237,15 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the chain does not reject."""
-    bad = classify(docs, labels).where("toxic").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that the chain does not reject, each judged by its own text, whatever its doc_id."""
+    marked, categories = language_categories(docs, labels)
+    return clean_rows(docs, train(docs, marked, categories))
+
+
+def clean_rows(docs: DataFrame, chain: Chain) -> DataFrame:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            yield batch.filter(pa.array([chain.probabilities(x)[-1] < chain.threshold for x in texts], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
