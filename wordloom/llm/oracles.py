@@ -155,10 +155,40 @@ SELECT d.doc_id, d.source, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped,
 FROM documents d LEFT JOIN g USING (doc_id)
 """
 
+COLLOCATIONS = rf"""
+WITH t AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(body, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS body FROM documents)
+),
+total AS (SELECT lang, sum(len(words))::BIGINT AS n FROM t GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS s FROM t, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k)
+),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cand AS (SELECT lang, k, phrase, f AS a FROM f WHERE k > 1),
+kept AS (
+  SELECT * FROM cand x WHERE NOT EXISTS (
+    SELECT 1 FROM cand y WHERE y.lang = x.lang AND y.k > x.k AND 100 * y.a >= 100 * x.a AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))
+),
+cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS left_part, array_to_string(string_split(phrase, ' ')[c + 1:], ' ') AS right_part
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM kept)
+),
+scored AS (
+  SELECT x.lang, x.phrase, a, c, p.f AS l, q.f AS r, n, ((1000::HUGEINT * a * n) // (p.f::HUGEINT * q.f))::BIGINT AS score
+  FROM cuts x JOIN f p ON p.lang = x.lang AND p.phrase = left_part JOIN f q ON q.lang = x.lang AND q.phrase = right_part JOIN total ON total.lang = x.lang
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_decontamination": DECONTAMINATION,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op5_jaccard_join": JACCARD_JOIN,
     "op7_line_dedup": LINE_DEDUP,
     "op9_quality_rules": QUALITY_RULES,
+    "op11_collocations": COLLOCATIONS,
 }

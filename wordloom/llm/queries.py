@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordloom.llm import decontaminate, jaccard, licenses, line_dedup, pieces, pii, quality_model, quality_rules, substring_dedup, toxicity
+from wordloom.llm import (
+    collocations, decontaminate, jaccard, licenses, line_dedup, packing, pieces, pii, quality_model, quality_rules, runs, substring_dedup,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +70,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", runs.repeat_tail(docs["doc_id"], docs["text"]).alias("text"))
+    return runs.run_digests(runs.periodic_runs(planted))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op1_decontamination_near": op1_decontamination_near,
@@ -80,4 +101,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_packing": op12_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
