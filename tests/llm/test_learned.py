@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 from itertools import combinations
 
@@ -119,13 +120,65 @@ def test_pieces_round_trip_and_are_best(model):
             assert sum(by_id.get(i, model.unknown) for i in ids) == pytest.approx(best_score(marked, model))
 
 
-def test_streaming_gives_out_final_ids_with_a_small_window(model):
+def window_sizes(text, model, block):
+    search, sizes, ids = pieces.Search(model), [], []
+    for at in range(0, len(text), block):
+        ids += search.feed(text[at : at + block])
+        sizes.append(search.held())
+    return ids + search.end(), sizes
+
+
+@pytest.mark.parametrize("block", [1, 7, 5000])
+def test_streaming_gives_out_final_ids_with_a_small_window(model, block):
     text = pieces.MARK + "theinandofto" * 3000
-    parts = list(pieces.stream(iter(text), model))
-    assert len(parts) > 1000
-    assert len([i for p in parts for i in p]) > 5000
-    short = pieces.MARK + "unbelievable"
-    assert [i for p in pieces.stream(short, model) for i in p] == pieces.whole(short, model)
+    ids, sizes = window_sizes(text, model, block)
+    assert max(sizes) <= 2 * pieces.WINDOW + model.longest + 1
+    assert ids == [i for p in pieces.stream([text], model) for i in p] and len(ids) > 5000
+    assert len(list(pieces.stream(iter(text), model))) > 300
+
+
+@pytest.mark.parametrize("letter", ["=", " ", "a", "_", "=+", "x"])
+def test_runs_of_one_character_take_linear_time_and_are_best(model, letter):
+    by_id = {i: s for i, s in model.scores.values()}
+    for n in (1, 15, 16, 17, 200, 333):
+        text = letter * n + "z"
+        marked = (pieces.MARK + text).replace(" ", pieces.MARK)
+        ids = pieces.encode(text, model).tolist()
+        assert sum(by_id.get(i, model.unknown) for i in ids) == pytest.approx(best_score(marked, model))
+        assert window_sizes(marked, model, 3)[0] == [i for p in pieces.stream([marked], model) for i in p]
+    spent = []
+    for n in (20_000, 100_000):
+        start = time.process_time()
+        assert pieces.decode(pieces.encode(letter * n, model).tolist(), model) == letter * n
+        spent.append(time.process_time() - start)
+    assert spent[1] < 12 * spent[0] + 0.5
+
+
+def test_stretches_are_cut_where_no_piece_goes_on(model):
+    rng, by_id = random.Random(8), {i: s for i, s in model.scores.values()}
+    for _ in range(300):
+        text = pieces.MARK + "".join(rng.choice("aeinst.,é;字$") for _ in range(rng.randrange(1, 60)))
+        parts = np.frombuffer(pieces._search_stretch(text, model), np.int32).tolist()
+        assert pieces.decode(parts, model) == text[1:]
+        assert sum(by_id.get(i, model.unknown) for i in parts) == pytest.approx(best_score(text, model))
+
+
+def test_memory_of_stretches_forgets_and_stays_right(model, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(30)) for _ in range(40)]
+    want = [pieces.encode(t, model).tolist() for t in texts]
+    monkeypatch.setattr(pieces, "MEMO", 20)
+    small = pieces.load_pieces()
+    assert [pieces.encode(t, small).tolist() for t in texts * 2] == want * 2
+
+
+def test_pieces_keep_clashing_columns(spark, model):
+    docs = spark.createDataFrame([(1, "a b", "x", "y"), (1, None, "x", "y"), (None, "a b", "x", "y"), (1, "a b", "x", "y")], "doc_id bigint, text string, body string, kept string")
+    found = pieces.encode_column(docs, model, keep=("doc_id", "body", "kept"))
+    rows = [(r["doc_id"], r["body"], r["kept"], r["n_tokens"], r["round_trip"]) for r in found.collect()]
+    assert sorted(rows, key=str) == sorted([(1, "x", "y", 2, True)] * 2 + [(1, "x", "y", 0, True), (None, "x", "y", 2, True)], key=str)
+    back = pieces.decode_column(found, model, keep=("body", "kept"))
+    assert sorted(str(r["text"]) for r in back.collect()) == ["None", "a b", "a b", "a b"]
 
 
 def test_encode_and_decode_columns(spark, model):
