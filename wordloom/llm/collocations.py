@@ -35,7 +35,7 @@ from wordloom.sources.scratch import materialize
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 TABLE_WORDS = 1_000_000
 BITMAP_BITS = 28  # a bitmap has 2**28 bits (32 MB) at most
-FLUSH = 1 << 20  # n-grams counted at once in a task
+FLUSH = 1 << 19  # n-grams counted at once in a task
 STRETCH = 1 << 18  # codes in a row of the encoded corpus
 MERGE = 1 << 22  # entries of waiting filters
 SHARD_TOKENS = 1 << 22
