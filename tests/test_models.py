@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -417,3 +419,26 @@ def test_scores_do_not_depend_on_vocabulary_blocks(spark, lm_data):
     assert (at["word_id"] == bt["word_id"]).all() and np.allclose(at["p"], bt["p"], rtol=1e-12)
     mine = a[(a["mb_id"] == first["mb_id"]) & (a["i"] == first["i"])].iloc[0]
     assert mine["p_y"] == pytest.approx(p[first["y"]]) and mine["y_hat"] == p.argmax()
+
+
+def test_command_line_passes_its_values_by_name(spark, tmp_path, monkeypatch):
+    from wordloom.operators.language_model import CHUNK_BATCHES
+
+    given = {}
+
+    class Saved:
+        def save(self, path):
+            given["saved"] = path
+
+    def train(*args, **named):
+        given.update(inspect.signature(real).bind(*args, **named).arguments)
+        return Saved()
+
+    real = jobs.train_language_model
+    monkeypatch.setattr(jobs, "train_language_model", train)
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("Cats chase mice.\n")
+    cli.main(["language-model", "--input", str(source), "--save", str(tmp_path / "out"), "--dimensions", "7", "--mini_batch_size", "9"], spark)
+    assert (given["dimensions"], given["mini_batch_size"], given["epochs"]) == (7, 9, 10)
+    assert given.get("chunk_batches", CHUNK_BATCHES) == CHUNK_BATCHES and given["saved"] == str(tmp_path / "out")

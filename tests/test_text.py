@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wordloom.functions import text as tx
-from wordloom.operators import corpus
+from wordloom.operators import corpus, segmentation
 
 # The published Penn Treebank rules, applied one sentence at a time.
 STEPS = [
@@ -122,3 +122,47 @@ def test_document_order_and_shuffle(spark, micro):
     assert one == rows_of(corpus.shuffled_document_order(index.repartition(3), 1))
     assert one != rows_of(corpus.shuffled_document_order(index, 1, epoch=1))
     assert sorted(i for _, i in one) == list(range(500))
+
+
+def abbreviating_corpus(spark):
+    """Invented prose in which 'Dr.' and 'approx.' are abbreviations and other periods end sentences."""
+    rng = random.Random(3)
+    names, things = ["Weber", "Klein", "Adler"], ["dogs", "cats", "birds", "cows", "goats"]
+    rows = []
+    for i in range(300):
+        parts = []
+        for _ in range(rng.randint(2, 5)):
+            a, b = rng.sample(things, 2)
+            parts.append(rng.choice([
+                f"Dr. {rng.choice(names)} saw the {a} and the {b}.", f"We found approx. forty {a} near some {b}.",
+                f"The {a} were like {b}.", f"The {b} ran away!", f"We like {a}, the small {b} and old {a}.",
+            ]))
+        rows.append((i, 0, " ".join(parts)))
+    return spark.createDataFrame(rows, "doc_id bigint, line_no int, line string")
+
+
+def test_sentence_model_learns_abbreviations(spark):
+    lines = abbreviating_corpus(spark)
+    model = segmentation.train(lines)
+    found = {r["typ"] for r in segmentation.scores(model).where("kind = 'abbreviation'").collect()}
+    assert found == {"dr", "approx"}
+    for row in segmentation.segment(lines, model).collect():
+        want = re.split(r"(?<!Dr\.)(?<!approx\.)(?<=[.!]) ", row["line"])
+        assert row["sentences"] == want
+
+
+def test_segmenting_defines_odd_lines(spark):
+    lines = abbreviating_corpus(spark)
+    model = segmentation.train(lines)
+    odd = spark.createDataFrame(
+        [(1, 0, "The dogs ran. The cats too."), (1, 0, "Dr. Weber ran."), (1, 0, "Dr. Weber ran."), (None, 0, "No id. The end."), (2, 0, " "), (3, 0, "unseen. Words! here")],
+        "doc_id bigint, line_no int, line string",
+    )
+    got = sorted((str(r["doc_id"]), r["sentences"]) for r in segmentation.segment(odd, model).collect())
+    assert got == sorted([
+        ("1", ["The dogs ran.", "The cats too."]), ("1", ["Dr. Weber ran."]), ("1", ["Dr. Weber ran."]), ("None", ["No id.", "The end."]),
+        ("2", []), ("3", ["unseen.", "Words!", "here"]),
+    ])
+    empty = segmentation.train(lines.where("false"))
+    assert empty.types.count() == 0 and segmentation.segment(lines.where("false"), empty).count() == 0
+    assert segmentation.segment(odd.limit(1), empty).first()["sentences"] == ["The dogs ran.", "The cats too."]

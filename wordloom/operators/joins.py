@@ -33,8 +33,9 @@ def skew_safe_join(
     key: str,
     weight: str,
     limit: int = BROADCAST_ROWS,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on the unique key of ``dim``, safe when some keys are very hot.
+    """Inner (or left) join on the unique key of ``dim``, safe when some keys are very hot.
 
     ``weight`` bounds how many fact rows a key can have.  At most ``limit`` keys can hold
     ``1/limit`` of the total weight each, so that head is broadcast with a proven bound;
@@ -46,9 +47,9 @@ def skew_safe_join(
     size, total, row = dim.agg(F.count(F.lit(1)), F.sum(F.col(weight).cast("double")), widest).first()
     limit = max(1, min(limit, BROADCAST_BYTES // max(row or 1, 1)))
     if size <= limit:
-        return fact.join(F.broadcast(dim), key)
+        return fact.join(F.broadcast(dim), key, how)
     is_head = F.col(weight).cast("double") * F.lit(float(limit)) >= F.lit(total)
     head, tail = dim.where(is_head), dim.where(~is_head)
     hot = fact.join(F.broadcast(head), key)
-    cold = fact.join(F.broadcast(head.select(key)), key, "left_anti").join(tail, key)
+    cold = fact.join(F.broadcast(head.select(key)), key, "left_anti").join(tail, key, how)
     return hot.unionByName(cold)

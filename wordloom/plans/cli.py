@@ -52,7 +52,6 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--hidden_units", type=int, default=50)
     p.add_argument("--mini_batch_size", type=int, default=64)
     p.add_argument("--dimensions", type=int, default=100)
-    p.add_argument("--partitions", type=int, default=4, help="partitions trained side by side")
     p.add_argument("--data", help="folder to keep prepared mini-batches in")
     return top
 
@@ -80,7 +79,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     else:
         model = jobs.train_language_model(
             lines, args.epochs, args.regularization, args.context_size, args.min_count,
-            args.hidden_units, args.mini_batch_size, args.dimensions, args.partitions,
+            args.hidden_units, args.mini_batch_size, args.dimensions,
             path_to_save=f"{args.save}/epochs", keep_in=args.data,
         )
     model.save(args.save)

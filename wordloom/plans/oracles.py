@@ -76,6 +76,98 @@ lines AS (
   FROM raw_lines WHERE trim(raw, {blank}) <> '')"""
 
 
+def _xlogy(x: str, y: str) -> str:
+    return f"(CASE WHEN {x} = 0 THEN 0.0 ELSE {x} * ln({y}) END)"
+
+
+def _association(a: str, b: str, ab: str, n: str) -> str:
+    p2 = f"(CASE WHEN {n} > {a} THEN ({b} - {ab}) / ({n} - {a}) ELSE 0.0 END)"
+    cells = [f"{ab}", f"({a} - {ab})", f"({b} - {ab})", f"({n} - {a} - {b} + {ab})"]
+    joint = " + ".join(_xlogy(c, q) for c, q in zip(cells, [f"({b} / {n})", f"(1 - {b} / {n})"] * 2))
+    apart = " + ".join(_xlogy(c, q) for c, q in zip(cells, [f"({ab} / {a})", f"(1 - {ab} / {a})", p2, f"(1 - {p2})"]))
+    return f"(-2.0 * (({joint}) - ({apart})))"
+
+
+def sentence_model() -> str:
+    """CTEs ``st_words``, ``st_types`` and ``st_pairs`` of the learned sentence model."""
+    opening, closing, pause = "(\"''\\[{«“‘¿¡", ")\"''\\]}»”’", ",;:"
+    core = f"regexp_replace(regexp_replace(w, '^[{opening}]+', ''), '[{closing}{pause}]+$', '')"
+    initial = r"(length(typ) = 1 AND regexp_matches(typ, '\p{L}'))"
+    score = (
+        f"-2.0 * (({_xlogy('np', '(P / N)')} + {_xlogy('(n - np)', '(1 - P / N)')})"
+        f" - ({_xlogy('np', '0.99::DOUBLE')} + {_xlogy('(n - np)', '(1 - 0.99::DOUBLE)')}))"
+        " * exp(-letters::DOUBLE) * (length(typ) - letters + 1) * pow(letters::DOUBLE, -(n - np)::DOUBLE)"
+    )
+    return f"""{lines()},
+st_raw AS (
+  SELECT doc_id, line_no, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT doc_id, line_no, list_filter(string_split({replace('line', SPACE, ' ')}, ' '), lambda t: t <> '') AS ws FROM lines)),
+st_core AS (
+  SELECT *, core LIKE '%.' AND NOT core LIKE '%..' AS dotted, regexp_matches(w, '[{pause}][{closing}{pause}]*$') AS pauses
+  FROM (SELECT *, {core} AS core FROM st_raw)),
+st_words AS MATERIALIZED (
+  SELECT doc_id, line_no, i, w, CASE WHEN regexp_matches(bare, '^[0-9][0-9.,]*$') THEN '#' ELSE bare END AS typ,
+         CASE WHEN regexp_matches(core, '^\p{{Lu}}') THEN 'upper' WHEN regexp_matches(core, '^\p{{Ll}}') THEN 'lower' ELSE 'none' END AS kase,
+         CASE WHEN dotted AND pauses THEN 'paused' WHEN dotted THEN 'period' WHEN regexp_matches(core, '[!?]$') AND NOT pauses THEN 'mark' ELSE 'plain' END AS fin
+  FROM (SELECT *, lower(CASE WHEN dotted THEN core[:-2] ELSE core END) AS bare FROM st_core)),
+st_two AS MATERIALIZED (
+  SELECT *, lag(typ) OVER g AS ptyp, lag(fin) OVER g AS pfin FROM st_words WINDOW g AS (PARTITION BY doc_id, line_no ORDER BY i)),
+st_count AS (
+  SELECT typ, count(*) AS n, count(*) FILTER (fin IN ('period', 'paused')) AS np,
+         count(*) FILTER ((pfin IS NULL OR pfin = 'mark') AND kase = 'upper') AS ub, count(*) FILTER ((pfin IS NULL OR pfin = 'mark') AND kase = 'lower') AS lb,
+         count(*) FILTER (pfin = 'plain' AND kase = 'upper') AS ui, count(*) FILTER (pfin = 'plain' AND kase = 'lower') AS li
+  FROM st_two GROUP BY typ),
+st_total AS (SELECT sum(n)::DOUBLE AS N_, sum(np)::DOUBLE AS P_ FROM st_count),
+st_score AS MATERIALIZED (
+  SELECT * EXCLUDE (letters), coalesce(score >= 0.3, false) AS abbr FROM (
+    SELECT *, CASE WHEN regexp_matches(typ, '\p{{L}}') AND np > 0 AND P_ < N_ THEN {score.replace('P / N', 'P_ / N_')} END AS score
+    FROM (SELECT *, length(replace(typ, '.', '')) AS letters FROM st_count, st_total))),
+st_around AS MATERIALIZED (
+  SELECT a.*, s.abbr, s.n AS n_typ, NOT s.abbr AND NOT paused AS ends
+  FROM (SELECT ptyp AS typ, pfin = 'paused' AS paused, typ AS next, kase, count(*) AS c FROM st_two WHERE pfin IN ('period', 'paused') GROUP BY ALL) a
+  JOIN st_score s USING (typ)),
+st_breaks AS (SELECT coalesce(sum(c), 0)::DOUBLE AS B_ FROM st_around WHERE ends),
+st_next AS (
+  SELECT next AS typ, sum(c) FILTER (ends AND typ <> '#' AND NOT {initial}) AS nw,
+         sum(c) FILTER (ends AND kase = 'upper') AS um, sum(c) FILTER (ends AND kase = 'lower') AS lm,
+         sum(c) FILTER (NOT ends AND kase = 'lower') AS lu, sum(c) FILTER (NOT ends AND kase = 'upper') AS uu
+  FROM st_around GROUP BY next),
+st_types AS MATERIALIZED (
+  SELECT *, often AND linked >= 30 AS starter FROM (
+    SELECT *, CASE WHEN often THEN {_association('B_', 'n::DOUBLE', 'nw', 'N_')} END AS linked FROM (
+      SELECT typ, n, np, score, abbr, N_, B_, coalesce(nw, 0)::DOUBLE AS nw, coalesce(nw, 0) > 0 AND regexp_matches(typ, '\p{{L}}') AND N_ * coalesce(nw, 0) > n * B_ AS often,
+             ub + coalesce(um, 0) AS ub, lb + coalesce(lm, 0) AS lb, ui, li + coalesce(lu, 0) AS li, coalesce(uu, 0) AS uu
+      FROM st_score LEFT JOIN st_next USING (typ), st_breaks))),
+st_pairs AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT p.typ, p.next, p.c AS n, {_association('p.a', 't.n::DOUBLE', 'p.c::DOUBLE', 'N_')} AS score
+    FROM (SELECT typ, next, n_typ::DOUBLE AS a, sum(c)::BIGINT AS c FROM st_around WHERE NOT paused AND (abbr OR typ = '#' OR {initial}) GROUP BY ALL) p
+    JOIN st_types t ON t.typ = p.next
+    WHERE p.c > 1 AND regexp_matches(p.next, '[\p{{L}}#]') AND N_ * p.c > p.a * t.n)
+  WHERE score >= 7.88)"""
+
+
+def sentences_trained() -> str:
+    initial = r"(length(typ) = 1 AND regexp_matches(typ, '\p{L}'))"
+    return f"""WITH {sentence_model()},
+st_ahead AS (
+  SELECT *, lead(typ) OVER g AS next, lead(kase) OVER g AS nkase FROM st_words WINDOW g AS (PARTITION BY doc_id, line_no ORDER BY i)),
+st_known AS (
+  SELECT a.*, t.abbr, x.starter, x.ub + x.ui + x.uu AS uppers, x.lb + x.li AS lowers, x.ui, x.lb, c.next IS NOT NULL AS together, {initial.replace('typ', 'a.typ')} AS initial
+  FROM st_ahead a JOIN st_types t ON t.typ = a.typ LEFT JOIN st_types x ON x.typ = a.next LEFT JOIN st_pairs c ON c.typ = a.typ AND c.next = a.next),
+st_told AS (
+  SELECT *, nkase = 'upper' AND lowers > 0 AND ui = 0 AS begins, nkase = 'lower' AND (uppers > 0 OR lb = 0) AS goes_on FROM st_known),
+st_ended AS (
+  SELECT *, CASE WHEN next IS NULL THEN false WHEN fin = 'mark' THEN true WHEN fin <> 'period' THEN false WHEN together THEN false
+    WHEN abbr AND NOT initial THEN begins OR (nkase = 'upper' AND starter)
+    WHEN initial OR typ = '#' THEN NOT abbr AND NOT goes_on AND NOT (initial AND NOT begins AND nkase = 'upper' AND lowers = 0)
+    ELSE true END AS ended
+  FROM st_told),
+st_sent AS (
+  SELECT *, coalesce(sum(ended::INTEGER) OVER (PARTITION BY doc_id, line_no ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM st_ended)
+SELECT doc_id, line_no, s::INTEGER AS sent_no, string_agg(w, ' ' ORDER BY i) AS sentence FROM st_sent GROUP BY doc_id, line_no, s"""
+
+
 def sentences(mode: str = "treebank", clean: bool = True, split: bool = False) -> str:
     marked = replace("line", SPACE, " ")
     marked = replace(marked, r"([.!?]) +", "\\1\n")
@@ -270,6 +362,11 @@ def oracle_sql() -> dict[str, str]:
     split = with_(lines(split=True))
     out["corpus_split"] = f"{split} SELECT doc_id, line_no, split FROM lines"
     out["corpus_split_counts"] = f"{split} SELECT split, count(*) AS n FROM lines GROUP BY split"
+    out["sentence_model"] = f"""WITH {sentence_model()}
+SELECT 'abbreviation' AS kind, typ, NULL::VARCHAR AS next, np AS n, round(score, 6) + 0.0 AS score FROM st_types WHERE abbr
+UNION ALL SELECT 'starter', typ, NULL, n, round(linked, 6) + 0.0 FROM st_types WHERE starter
+UNION ALL SELECT 'collocation', typ, next, n, round(score, 6) + 0.0 FROM st_pairs"""
+    out["sentences_trained"] = sentences_trained()
     out["sentences"] = (
         f"{with_(sentences())} SELECT {SENT}, array_to_string(toks, ' ') AS sentence FROM sents"
     )

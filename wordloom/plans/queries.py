@@ -13,7 +13,7 @@ from wordloom.functions.text import regex_preprocessor
 from wordloom.operators import clustering, contexts, corpus, decomposition, encoding
 from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import language_model as lm
-from wordloom.operators import phrases, similarity, termdoc, vocabulary, word2vec
+from wordloom.operators import phrases, segmentation, similarity, termdoc, vocabulary, word2vec
 from wordloom.operators.joins import skew_safe_join
 from wordloom.plans.models import TermDocumentModel, WordWordModel
 from wordloom.plans.settings import (
@@ -91,6 +91,18 @@ def corpus_split_counts(spark, sf):
     return corpus_split(spark, sf).groupBy("split").agg(F.count("*").alias("n"))
 
 
+@query
+def sentence_model(spark, sf):
+    model = segmentation.train(_lines(spark, sf))
+    return segmentation.scores(model).select("kind", "typ", "next", "n", rounded("score"))
+
+
+@query
+def sentences_trained(spark, sf):
+    lines = _lines(spark, sf)
+    return segmentation.sentences_of(lines, segmentation.train(lines))
+
+
 @query
 def sentences(spark, sf):
     return _sentence_text(_sents(spark, sf))
