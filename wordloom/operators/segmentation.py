@@ -25,6 +25,7 @@ ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
 PERIOD_AFTER_ABBREVIATION = 0.99
 OPENING, CLOSING, PAUSE = "(\"'\\[{«“‘¿¡", ")\"'\\]}»”’", ",;:"
 NUMBER = "#"
+COUNTS = ["upper_begin", "lower_begin", "upper_inside", "lower_inside", "upper_unknown"]
 
 
 class SentenceModel(NamedTuple):
@@ -190,11 +191,12 @@ def segment(lines: DataFrame, model: SentenceModel, key: list[str] | None = None
     ).select(*key, "_digest", "s.at", "s.typ", "s.end", F.col("s.after.typ").alias("next"), F.col("s.after.case").alias("case"))
     periods = spots.where(F.col("end") == "period")
     periods = skew_safe_join(periods, model.types.select("typ", "abbreviation", F.col("n").alias("n_typ")), "typ", "n_typ", how="left")
-    about = model.types.select(F.col("typ").alias("next"), "starter", "upper_begin", "lower_begin", "upper_inside", "lower_inside", "upper_unknown", "n")
+    about = model.types.select(F.col("typ").alias("next"), "starter", *COUNTS, "n")
     periods = skew_safe_join(periods, about, "next", "n", how="left")
     together = model.collocations.select("typ", "next", F.lit(True).alias("together"))
     # words that the model has not seen are no abbreviations and never written otherwise
-    periods = periods.join(together, ["typ", "next"], "left").fillna(False).fillna(0)
+    periods = periods.join(together, ["typ", "next"], "left")
+    periods = periods.fillna(False, ["together", "abbreviation", "starter"]).fillna(0, COUNTS)
     marks = spots.where(F.col("end") == "mark")
     ends = periods.where(_ends_sentence()).select(*key, "_digest", "at").unionByName(marks.select(*key, "_digest", "at"))
     # rows that share a key are told apart by their text; equal rows have equal ends
