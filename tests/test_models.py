@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wordloom.errors import WordNotInVocabulary
-from wordloom.operators import corpus, encoding, phrases, vocabulary, word2vec
+from wordloom.operators import blocked_training, corpus, encoding, phrases, vocabulary, word2vec
 from wordloom.operators import language_model as lm
 from wordloom.plans import cli, jobs
 from wordloom.plans.models import EmbeddingModel, LanguageModel, TermDocumentModel, WordWordModel
@@ -442,3 +442,57 @@ def test_command_line_passes_its_values_by_name(spark, tmp_path, monkeypatch):
     cli.main(["language-model", "--input", str(source), "--save", str(tmp_path / "out"), "--dimensions", "7", "--mini_batch_size", "9"], spark)
     assert (given["dimensions"], given["mini_batch_size"], given["epochs"]) == (7, 9, 10)
     assert given.get("chunk_batches", CHUNK_BATCHES) == CHUNK_BATCHES and given["saved"] == str(tmp_path / "out")
+
+
+def small_network(spark, size):
+    """A network of six and five units whose softmax is away from zero."""
+    params = lm.init_params(spark, size, 2, 6, 5, seed=1)
+    draw = F.transform("vals", lambda x: x + 0.1 * F.sin(F.col("row") + 1.0))
+    return materialize(params.withColumn("vals", F.when(F.col("layer") == 2, draw).otherwise(F.col("vals"))), "init")
+
+
+@pytest.mark.parametrize("how", [dict(optimizer="adam", rate=0.01, lmbda=0.02), dict(optimizer="sgd", rate=0.5, learn_embeddings=False)])
+def test_blocked_training_equals_dense_training(spark, lm_data, how):
+    size, rows = lm_data
+    few = materialize(rows.where("split <> 'train' and mb_id < 1 or split = 'train' and mb_id < 4").coalesce(1), "few")
+    params = small_network(spark, size)
+    dense, seen = lm.train_language_model(few, params, size, epochs=1, sync="gradient", steps_per_epoch=2, chunk_batches=2, **how)
+    got, stats = blocked_training.train(few, params, size, epochs=1, steps_per_epoch=2, block_words=size // 2 + 1, **how)
+    for a, b in zip(lm.load_weights(got), lm.load_weights(dense)):
+        assert np.allclose(a, b, atol=1e-10)
+    key = ["epoch", "split", "mb_id", "metric"]
+    a, b = (t.toPandas().sort_values(key).reset_index(drop=True) for t in (stats, seen))
+    assert len(a) == len(b) and np.allclose(a["value"], b["value"], rtol=1e-9)
+
+
+def test_blocked_training_goes_on_from_a_saved_state(spark, lm_data, tmp_path):
+    """One epoch and one more equal two, lazily caught-up rows among them, for another size of blocks."""
+    size, rows = lm_data
+    few = materialize(rows.where("split = 'train' and mb_id < 2").coalesce(1), "few")
+    params, where = small_network(spark, size), str(tmp_path / "a")
+    whole, _ = blocked_training.train(few, params, size, epochs=2, rate=0.01)
+    blocked_training.train(few, params, size, epochs=1, rate=0.01, path_to_save=where)
+    rest, stats = blocked_training.train(few, None, size, epochs=1, rate=0.01, resume=f"{where}/state-0", first_epoch=1, block_words=size // 2 + 1)
+    for a, b in zip(lm.load_weights(rest), lm.load_weights(whole)):
+        assert np.allclose(a, b, atol=1e-12)
+    assert {r["epoch"] for r in stats.select("epoch").distinct().collect()} == {1}
+
+
+def test_lazy_rows_catch_up_with_dense_ones():
+    rng = np.random.default_rng(4)
+    for rule in (blocked_training.Rule("adam", 0.05), blocked_training.Rule("adam", 0.05, 0.1), blocked_training.Rule("sgd", 0.05, 0.1)):
+        dense = [rng.normal(size=(6, 3)), np.zeros((6, 3)), np.zeros((6, 3))]
+        lazy, last = [a.copy() for a in dense], np.zeros(6, np.int64)
+        for t in range(1, 12):
+            g = np.zeros((6, 3))
+            touched = rng.choice(6, 2, replace=False)
+            g[touched] = rng.normal(size=(2, 3))
+            rule.move(*dense, g + rule.lmbda * dense[0], t)
+            parts = [a[touched] for a in lazy]
+            rule.catch_up(*parts, last[touched], t - 1)
+            rule.move(*parts, g[touched] + rule.lmbda * parts[0], t)
+            for a, part in zip(lazy, parts):
+                a[touched] = part
+            last[touched] = t
+        rule.catch_up(*lazy, last, 11)
+        assert all(np.allclose(a, b, atol=1e-13) for a, b in zip(lazy, dense))
