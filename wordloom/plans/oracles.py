@@ -98,7 +98,7 @@ def sentence_model() -> str:
         f" - ({_xlogy('np', '0.99::DOUBLE')} + {_xlogy('(n - np)', '(1 - 0.99::DOUBLE)')}))"
         " * exp(-letters::DOUBLE) * (length(typ) - letters + 1) * pow(letters::DOUBLE, -(n - np)::DOUBLE)"
     )
-    return f"""{lines()},
+    return rf"""{lines()},
 st_raw AS (
   SELECT doc_id, line_no, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
   FROM (SELECT doc_id, line_no, list_filter(string_split({replace('line', SPACE, ' ')}, ' '), lambda t: t <> '') AS ws FROM lines)),
@@ -673,6 +673,42 @@ FROM (SELECT split, avg((y = y_hat)::INTEGER) AS hit FROM scored GROUP BY split,
     out["lm_predict_topk"] = f"""{ex}, {network}
 SELECT split, ex_id, rank::INTEGER AS rank, ids[rank] AS word_id, round(exp(logits[rank] - top) / total, 9) AS p
 FROM (SELECT *, unnest([1, 2, 3]) AS rank FROM examples w JOIN softmax ON {same})"""
+    prob, hs, ws = f"exp({logit} - top) / total", ["h0", "h1", "h2"], ["w0", "w1", "w2"]
+    w1 = {(i, j): drawn("w1", str(i), str(j)) for i in range(2 * CONTEXT) for j in range(3)}
+    moved = ", ".join(
+        f"CASE WHEN h{j} > 0 THEN n * s{j} - coalesce(o{j}, 0) ELSE 0 END / N_ AS g{j}" for j in range(3)
+    )
+    one = "SELECT {layer} AS layer, '{name}' AS name, {row}::INTEGER AS row, {at} AS unit, {old} AS old, {g} AS g FROM {of}".format
+    weights = [one(layer=0, name="w", row="id", at=d, old=("ln(n)", "length(tok)::DOUBLE")[d], g=f"coalesce(e{d}, 0)", of="vocab LEFT JOIN lm_words USING (id)") for d in (0, 1)]
+    slots = " UNION ALL ".join(
+        f"SELECT c{s} AS id, {', '.join(' + '.join(f'g{j} * {w1[2 * s + d, j]}' for j in range(3)) + f' AS e{d}' for d in (0, 1))} FROM lm_back" for s in range(CONTEXT)
+    )
+    weights += [
+        one(layer=1, name="w", row=i, at=j, old=w1[i, j], g=f"(SELECT sum(({x}) * g{j}) FROM lm_inputs)", of="(SELECT 1)")
+        for i, x in enumerate(f"x{i}" for i in range(2 * CONTEXT)) for j in range(3)
+    ]
+    weights += [one(layer=1, name="b", row=0, at=j, old=drawn("b1", str(j)), g=f"(SELECT sum(g{j}) FROM lm_back)", of="(SELECT 1)") for j in range(3)]
+    weights += [one(layer=2, name="w", row="id", at=j, old=f"w{j}", g=f"(p{j} - coalesce(y{j}, 0)) / N_", of="lm_out") for j in range(3)]
+    weights += [one(layer=2, name="b", row=0, at="id", old="b", g="(p - coalesce(y, 0)) / N_", of="lm_out")]
+    context = "c0, c1, c2, c3"
+    step = f"""{ex}, {network},
+lm_train AS MATERIALIZED (SELECT e.w0 AS c0, e.w1 AS c1, e.w2 AS c2, e.w3 AS c3, e.y FROM batched JOIN examples e USING (split, ex_id) WHERE split = 'train'),
+lm_total AS (SELECT count(*)::DOUBLE AS N_ FROM lm_train),
+lm_soft AS MATERIALIZED (SELECT * FROM softmax JOIN (SELECT {context}, count(*) AS n FROM lm_train GROUP BY {context}) USING ({context})),
+lm_true AS MATERIALIZED (SELECT t.*, h0, h1, h2 FROM (SELECT {context}, y AS id, count(*) AS k FROM lm_train GROUP BY ALL) t JOIN lm_soft USING ({context})),
+lm_out AS MATERIALIZED (
+  SELECT * FROM (SELECT id, any_value(w0) AS w0, any_value(w1) AS w1, any_value(w2) AS w2, any_value(b) AS b, {", ".join(f"sum(n * {prob} * {h}) AS p{j}" for j, h in enumerate(hs))}, sum(n * {prob}) AS p
+                 FROM lm_soft, out_words GROUP BY id)
+  LEFT JOIN (SELECT id, {", ".join(f"sum(k * {h}) AS y{j}" for j, h in enumerate(hs))}, sum(k) AS y FROM lm_true GROUP BY id) USING (id), lm_total),
+lm_back AS MATERIALIZED (
+  SELECT {context}, {moved}
+  FROM (SELECT {context}, any_value(n) AS n, {", ".join(f"any_value({h}) AS {h}" for h in hs)}, {", ".join(f"sum({prob} * {w}) AS s{j}" for j, w in enumerate(ws))} FROM lm_soft, out_words GROUP BY {context})
+  JOIN (SELECT {context}, {", ".join(f"sum(k * {w}) AS o{j}" for j, w in enumerate(ws))} FROM lm_true JOIN out_words USING (id) GROUP BY {context}) USING ({context}), lm_total),
+lm_inputs AS MATERIALIZED (SELECT {", ".join(f"{x} AS x{i}" for i, x in enumerate(inputs))}, g0, g1, g2 FROM lm_back {joins.replace("= w", "= c")}),
+lm_words AS (SELECT id, sum(e0) AS e0, sum(e1) AS e1 FROM ({slots}) GROUP BY id),
+lm_moves AS ({" UNION ALL ".join(weights)})"""
+    out["lm_sgd_step"] = f"{step} SELECT layer, name, row, unit::INTEGER AS unit, round(old - 100.0::DOUBLE * g, 6) + 0.0 AS value FROM lm_moves"
+    out["lm_adam_step"] = f"{step} SELECT layer, name, row, unit::INTEGER AS unit, round(old - 0.001::DOUBLE * g / (abs(g) + 1e-8::DOUBLE), 6) + 0.0 AS value FROM lm_moves"
     out["lm_init_from_vectors"] = f"""{lm_vocab}
 SELECT 0 AS layer, 'w' AS name, id AS row, 2 AS width, round(ln(n) + length(tok), 6) AS total FROM vocab
 UNION ALL SELECT 2, 'w', id, 16, 0.0::DOUBLE FROM vocab

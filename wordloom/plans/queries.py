@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordloom.functions import vectors as vec
 from wordloom.functions.hashing import hash_uniform
 from wordloom.functions.text import regex_preprocessor
-from wordloom.operators import clustering, contexts, corpus, decomposition, encoding
+from wordloom.operators import blocked_training, clustering, contexts, corpus, decomposition, encoding
 from wordloom.operators import cooccurrence as cooc
 from wordloom.operators import language_model as lm
 from wordloom.operators import phrases, segmentation, similarity, termdoc, vocabulary, word2vec
@@ -786,6 +786,27 @@ def lm_train_sgd(spark, sf):
     return _stats(_lm_trained(spark, sf, optimizer="sgd", rate=0.1, sync="gradient", steps_per_epoch=4)[1][1])
 
 
+def _first_lm_step(spark, sf, optimizer, rate):
+    """All weights after one step of the whole training split on the network drawn by hash."""
+    vocab, batched = _batched(spark, sf)
+    examples = materialize(batched.where("split = 'train'").select("mb_id", "x_idx", "y"), "lm-train")
+    state = blocked_training.start(_hash_network(spark, vocab))
+    state, _ = blocked_training.step(examples, state, vocab.count(), blocked_training.Rule(optimizer, rate))
+    each = blocked_training.params_of(state).select("layer", "name", "row", F.posexplode("vals").alias("unit", "value"))
+    return each.select("layer", "name", "row", "unit", rounded("value"))
+
+
+@query
+def lm_sgd_step(spark, sf):
+    """The rate is large so that every word's move shows."""
+    return _first_lm_step(spark, sf, "sgd", 100.0)
+
+
+@query
+def lm_adam_step(spark, sf):
+    return _first_lm_step(spark, sf, "adam", 0.001)
+
+
 @query
 def lm_predict_topk(spark, sf):
     """The three likeliest next words of every context."""
