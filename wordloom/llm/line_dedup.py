@@ -65,8 +65,11 @@ def dedup_lines(
         texts = docs.select(F.col(host).alias("host"), F.md5(F.coalesce(text, F.lit(""))).alias("digest")).where("host IS NOT NULL")
         totals = texts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), (F.min("digest") < F.max("digest")).alias("differ"))
     bad = materialize(boilerplate(lines, totals, ratio, min_pages, small_hosts), "boilerplate")
-    marked = lines.join(bad, ["host", "digest"]).groupBy("key").agg(F.collect_list("digest").alias("__line_dedup_bad"))
-    joined = docs.join(marked.withColumnRenamed("key", "__line_dedup_key"), F.col(key) == F.col("__line_dedup_key"), "left").drop("__line_dedup_key")
+    # by host, too: pages of several hosts may share an id
+    marked = lines.join(bad, ["host", "digest"]).groupBy("host", "key").agg(F.collect_set("digest").alias("__line_dedup_bad"))
+    marked = marked.withColumnsRenamed({"key": "__line_dedup_key", "host": "__line_dedup_host"})
+    same = (F.col(key) == F.col("__line_dedup_key")) & (F.col(host) == F.col("__line_dedup_host"))
+    joined = docs.join(marked, same, "left").drop("__line_dedup_key", "__line_dedup_host")
     whole = F.split(text, "\n")
     keep = lambda line: (_stripped(line) == "") | ~F.array_contains("__line_dedup_bad", _digest(line))
     left = joined.withColumn("__line_dedup_left", F.when(F.col("__line_dedup_bad").isNotNull(), F.filter(whole, keep)))
