@@ -285,3 +285,19 @@ def test_license_rules_are_gated_without_loss():
     first = licenses.first_keywords(rules)
     for rule in rules:
         assert any(k in rule.keyword or k in rule.other for k in first)
+
+
+def test_rows_of_one_id_with_different_texts_are_told_apart(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    docs = spark.createDataFrame([(1, a), (5, b), (5, a), (5, f"{b}\n{a}")], "doc_id bigint, text string")
+    got = [(r["doc_id"], r["n_removed"], r["text"]) for r in substring_dedup.dedup_units(docs, min_words=1).collect()]
+    # of id 5 one of the two rows with the unit b keeps it, and none keeps a
+    assert sorted(g for g in got if g[0] == 1) == [(1, 0, a)]
+    assert sum(b in text for _, _, text in got) == 1 and sum(a in text for _, _, text in got) == 1
+
+
+def test_lines_are_cut_on_their_own_host_only(spark):
+    rows = [(i, "footer\nx" + str(i), "a") for i in range(10)] + [(i, "footer\ny" + str(i), "b") for i in (3,)] + [(100 + i, f"z{i}", "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {(r["doc_id"], r["source"]): r["text"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[3, "a"] == "x3" and got[3, "b"] == "footer\ny3" and len(got) == 41

@@ -94,12 +94,12 @@ def dedup_units(
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
-                (named, order, row, place)
-                for row, order, body in zip(batch["key"], batch["rank"], batch["text"])
+                (named, order, row, tag, place)
+                for row, order, tag, body in zip(batch["key"], batch["rank"], batch["tag"], batch["text"])
                 if body is not None
                 for place, _, _, named in in_units(body, unit, min_words)
             ]
-            yield pd.DataFrame(rows, columns=["digest", "rank", "key", "place"])
+            yield pd.DataFrame(rows, columns=["digest", "rank", "key", "tag", "place"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,11 +125,12 @@ def dedup_units(
     order = F.col(rank) if rank else F.lit(0)
     order_kind = docs.schema[rank].dataType.simpleString() if rank else "int"
     source = docs.select(F.col(key).alias("key"), order.alias("rank"), F.col(text).alias("text"))
-    keyed = source.where("key IS NOT NULL")
-    occurrences = keyed.mapInPandas(hashed, f"digest binary, rank {order_kind}, key {kind}, place bigint")
-    first = occurrences.groupBy("digest").agg(F.min(F.struct("rank", "key", "place")).alias("at"))
-    kept = first.groupBy(F.col("at.key").alias("key")).agg(F.collect_list("at.place").alias("first"))
-    joined = keyed.select("key", F.lit(False).alias("free"), "text").join(kept, "key", "left")
+    # rows of one key are told apart by their texts
+    keyed = source.where("key IS NOT NULL").withColumn("tag", F.xxhash64("text"))
+    occurrences = keyed.mapInPandas(hashed, f"digest binary, rank {order_kind}, key {kind}, tag bigint, place bigint")
+    first = occurrences.groupBy("digest").agg(F.min(F.struct("rank", "key", "tag", "place")).alias("at"))
+    kept = first.groupBy(F.col("at.key").alias("key"), F.col("at.tag").alias("tag")).agg(F.collect_list("at.place").alias("first"))
+    joined = keyed.select("key", "tag", F.lit(False).alias("free"), "text").join(kept, ["key", "tag"], "left").drop("tag")
     lost = source.where("key IS NULL").select("key", F.lit(True).alias("free"), "text", F.lit(None).cast("array<bigint>").alias("first"))
     shape = f"key {kind}, n_units bigint, n_removed bigint, removed string, kept string, text string"
     return joined.mapInPandas(cut, shape).unionByName(lost.mapInPandas(cut, shape)).withColumnRenamed("key", key)
