@@ -77,11 +77,31 @@ def test_jaccard_of_empty_and_repeated_rows(spark):
     assert jaccard.jaccard_components(table(spark, []).where("false")).count() == 0
     docs = spark.createDataFrame([(2, "a b c d"), (2, "a b c d"), (5, "a b c d")], "doc_id bigint, text string")
     assert [r["component_id"] for r in jaccard.jaccard_components(docs).collect()] == [2, 2, 2]
-    assert [r["doc_id"] for r in jaccard.drop_near_duplicates(docs, 3, jaccard.Threshold()).collect()] == [2, 2]
+    assert [r["doc_id"] for r in jaccard.drop_near_duplicates(docs, 3, jaccard.Threshold()).collect()] == [2]
     with pytest.raises(ValueError):
         jaccard.Threshold(50, 100)
 
 
+def test_jaccard_tells_rows_of_one_id_apart(spark):
+    """Every row links by its own text; brute force on row numbers, named by the least id of the component."""
+    rng = random.Random(11)
+    starts = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (60, 60, 200, 8)]
+    texts = [" ".join(edited(rng, start, k)) for start in starts for k in (0, 0, 1, 1, 2, 40)] + ["", None, "", "one"]
+    ids = [rng.randrange(6) for _ in texts]
+    rows = [(i, n, text) for n, (i, text) in enumerate(zip(ids, texts))] + [(None, 99, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id int, place int, text string").selectExpr("*", "'clash' AS row")
+    sizes, root = brute_components(texts, 3, 90, 100)
+    least = {r: min(i for i, other in zip(ids, root) if other == r) for r in root}
+    want = sorted([(i, n, least[r]) for i, n, r in zip(ids, sizes, root)])
+    got = [tuple(r) for r in jaccard.jaccard_components(docs).collect()]
+    assert sorted(r for r in got if r[0] is not None) == want and (None, None, None) in got
+    left = jaccard.drop_near_duplicates(docs, 3, jaccard.Threshold())
+    assert left.columns == docs.columns
+    stay = [r["place"] for r in left.collect()]
+    assert sorted(root[n] for n in stay if n != 99) == sorted(set(root)) and 99 in stay
+    assert all(ids[n] == least[root[n]] for n in stay if n != 99)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 30)] + [(50, 29)]
     found = components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()

@@ -19,8 +19,9 @@ when ``per * intersection >= least * union``.
 4. Components of the tiles' forests are the answer.
 
 Null and empty texts have empty sets and hang on nothing; fewer than ``size`` words make one
-n-gram.  Ids are whole numbers; rows that repeat one each give a result row.  Rows without an id have
-no component and null results.
+n-gram.  Ids are whole numbers.  Rows that share an id, with equal or different texts, each give a result row
+and link on their own: where any id repeats, the texts are written once under row numbers, and these stand
+for the ids until components are named.  Rows without an id have no component and null results.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ from wordloom.sources.scratch import materialize, release
 # Hashes in one block of a large cluster.
 BLOCK = 1 << 21
 WORD_MEMO = 1 << 18
+# Column of row numbers, while rows that share an id are told apart.
+ROW = "__jaccard_row"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -312,15 +315,12 @@ def links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, key: str
     return laid.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(joined, "a bigint, b bigint")
 
 
-def jaccard_components(
-    docs: DataFrame, size: int = 3, threshold: Threshold = Threshold(), key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Per row: key, n_shingles, component_id (the least id reachable by links)."""
-    lost, docs = docs.where(F.col(key).isNull()), docs.where(F.col(key).isNotNull())
+def _row_components(docs: DataFrame, size: int, threshold: Threshold, key: str, text: str) -> DataFrame:
+    """id, n, component (the least id reachable by links) of ``docs``, whose ids are whole numbers, not null and all different."""
     signed = materialize(signatures(docs, size, threshold, key, text), "signatures")
     classes = signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = materialize(signed.join(classes, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
-    reps = signed.join(named.where("n > 0 AND id = rep").select("id"), "id", "left_semi").select("id", "n", "map").dropDuplicates(["id"])
+    reps = signed.join(named.where("n > 0 AND id = rep").select("id"), "id", "left_semi").select("id", "n", "map")
     reps = materialize(reps, "representatives")
     release(signed)
 
@@ -337,16 +337,48 @@ def jaccard_components(
     held = components(links(docs, members, size, threshold, key, text))
     release(members)
     least = held.select(F.col("node").alias("rep"), "component")
-    found = named.join(least, "rep", "left").select(
-        F.col("id").cast(docs.schema[key].dataType).alias(key),
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "rep").alias("component_id"),
+    return named.join(least, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
+
+
+def _ids_repeat(docs: DataFrame, key: str) -> bool:
+    return not docs.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty()
+
+
+def _numbered(docs: DataFrame, size: int, threshold: Threshold, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` written under row numbers, and ``row, id, n, component``, components being row numbers, too."""
+    numbered = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    found = _row_components(numbered, size, threshold, ROW, text).select(F.col("id").alias("row"), "n", "component")
+    ids = numbered.select(F.col(ROW).alias("row"), F.col(key).cast("bigint").alias("id"))
+    return numbered, materialize(found.join(ids, "row"), "rows")
+
+
+def jaccard_components(
+    docs: DataFrame, size: int = 3, threshold: Threshold = Threshold(), key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Per row: key, n_shingles, component_id (the least id reachable by links)."""
+    lost, docs = docs.where(F.col(key).isNull()), docs.where(F.col(key).isNotNull())
+    if _ids_repeat(docs, key):
+        _, rows = _numbered(docs.select(key, text), size, threshold, key, text)
+        least = rows.groupBy("component").agg(F.min("id").alias("least"))
+        found = rows.join(least, "component").select("id", "n", F.col("least").alias("component"))
+    else:
+        found = _row_components(docs, size, threshold, key, text)
+    named = found.select(
+        F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
     )
     none = F.lit(None).cast("bigint")
-    return found.unionByName(lost.select(key, none.alias("n_shingles"), none.alias("component_id")))
+    return named.unionByName(lost.select(key, none.alias("n_shingles"), none.alias("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int, threshold: Threshold, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its least id.  Rows without an id stay."""
-    gone = jaccard_components(docs, size, threshold, key, text).where(F.col("component_id") != F.col(key)).select(key)
-    return docs.join(gone, key, "left_anti").select(docs.columns)
+    """One row of ``docs`` for each component: the one with the least id, of several with that id any one.
+
+    Rows without an id stay, and so does every row without words.
+    """
+    lost, known = docs.where(F.col(key).isNull()), docs.where(F.col(key).isNotNull())
+    if not _ids_repeat(known, key):
+        gone = jaccard_components(known, size, threshold, key, text).where(F.col("component_id") != F.col(key)).select(key)
+        return docs.join(gone, key, "left_anti").select(docs.columns)
+    numbered, rows = _numbered(known, size, threshold, key, text)
+    stay = rows.groupBy("component").agg(F.min(F.struct("id", "row")).alias("least")).select(F.col("least.row").alias(ROW))
+    return numbered.join(stay, ROW, "left_semi").select(docs.columns).unionByName(lost)
