@@ -139,7 +139,7 @@ def test_boilerplate_reaches_the_gap_and_small_hosts(spark, tmp_path):
     texts += ["one\nfoot", "two\nfoot", "same\ncopy", "same\ncopy", "alone", "x\nfoot\npart", "y\nfoot\npart", "z\nfoot", None]
     sources = ["big"] * 100 + ["two"] * 2 + ["copies"] * 2 + ["one"] + ["three"] * 3 + ["null"]
     table(spark, texts, sources).write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r["text"] for r in QUERIES["op7_boilerplate_dedup"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["text"] for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
     assert [got[0], got[8], got[99]] == ["page 0", "page 8\nnews", "page 99"]
     assert [got[i] for i in range(100, 109)] == ["one", "two", "same\ncopy", "same\ncopy", "alone", "x\npart", "y\npart", "z", None]
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
@@ -193,7 +193,7 @@ def test_passages_of_short_lines_go(spark, rng, tmp_path):
     texts = ["".join(rng.choice(pool) + rng.choice(["\n", "\n\n", "\n \n  "]) for _ in range(rng.randint(1, 9))) for _ in range(40)]
     texts += ["one day\nthe rain came\n\nZ", "new\n\none\nday the rain came\n--\n\nend", "a b\n\n--\na b", ""]
     table(spark, [*texts, None]).write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r for r in QUERIES["op2_passage_dedup"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r for r in QUERIES["op2_substring_dedup"](spark, str(tmp_path)).collect()}
     seen = {}
     words_of = lambda x: tuple(re.findall(rb"[0-9a-z\x80-\xff]+", x.encode().lower()))
     for i, text in enumerate(texts):
@@ -290,7 +290,7 @@ def test_license_rules_are_gated_without_loss():
 def test_rows_of_one_id_with_different_texts_are_told_apart(spark):
     a, b = "one two three four five", "six seven eight nine ten"
     docs = spark.createDataFrame([(1, a), (5, b), (5, a), (5, f"{b}\n{a}")], "doc_id bigint, text string")
-    got = [(r["doc_id"], r["n_removed"], r["text"]) for r in substring_dedup.dedup_units(docs, min_words=1).collect()]
+    got = [(r["doc_id"], r["n_removed"], r["text"]) for r in substring_dedup.dedup_units(docs, unit="line").collect()]
     # of id 5 one of the two rows with the unit b keeps it, and none keeps a
     assert sorted(g for g in got if g[0] == 1) == [(1, 0, a)]
     assert sum(b in text for _, _, text in got) == 1 and sum(a in text for _, _, text in got) == 1

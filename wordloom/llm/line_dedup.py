@@ -5,8 +5,7 @@ a page repeats counts once for that page.  Null texts stay null and count as pag
 lines; rows without a host belong to no site and keep their text, and so do rows without a key.  Repeated
 rows count as a page each.  All columns of the input are returned, under their own names.
 
-``dedup_boilerplate`` cuts in the gap below the most frequent lines and has a rule for small hosts:
-with fewer than ``min_pages`` pages, a line on all of them (two at least) is boilerplate, unless
+On a host with fewer than ``min_pages`` pages, a line on all of them (two at least) is boilerplate, unless
 those pages are copies of one text.
 """
 
@@ -18,10 +17,9 @@ from pyspark.sql import functions as F
 from wordloom.llm.words import SPACE_CHARS
 from wordloom.sources.scratch import materialize
 
-RATIO = 0.1
+# In the gap of line shares on sf0.1: the most frequent line has 8.6 % of a host's pages and more, the next below 5 %.
+RATIO = 0.065
 MIN_PAGES = 5
-# Line shares of a host's pages on sf0.1: the most frequent line has 8.6 % and more, the next below 5 %.
-GAP_RATIO = 0.065
 
 
 def _stripped(line: Column) -> Column:
@@ -32,17 +30,15 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(_stripped(line)))
 
 
-def boilerplate(lines: DataFrame, totals: DataFrame, ratio: float, min_pages: int, small_hosts: bool = False) -> DataFrame:
-    """host, digest of the lines on more than ``ratio`` of the host's pages, and on ``min_pages`` at least;
-    with ``small_hosts``, on all pages of a host that has fewer, if its texts differ.
+def boilerplate(lines: DataFrame, totals: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+    """host, digest of the lines on more than ``ratio`` of the host's pages, and on ``min_pages`` at least,
+    or on all pages of a host that has fewer, if its texts differ.
 
     One page has a bounded share of such lines: their number on a host is below its lines per
     page divided by ``ratio``, however many pages there are.
     """
-    counts = lines.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= (min(2, min_pages) if small_hosts else min_pages))
-    enough = F.col("n") >= min_pages
-    if small_hosts:
-        enough = enough | ((F.col("pages") < min_pages) & (F.col("n") == F.col("pages")) & F.col("differ"))
+    counts = lines.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(2, min_pages))
+    enough = (F.col("n") >= min_pages) | ((F.col("pages") < min_pages) & (F.col("n") == F.col("pages")) & F.col("differ"))
     return counts.join(totals, "host").where(enough & (F.col("n") > F.lit(ratio) * F.col("pages"))).select("host", "digest")
 
 
@@ -53,18 +49,15 @@ def dedup_lines(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
-    small_hosts: bool = False,
 ) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``, plus _n_lines and _n_dropped."""
     pages = docs.select(F.col(key).alias("key"), F.col(host).alias("host"), F.split(text, "\n").alias("lines"))
     pages = pages.where("host IS NOT NULL")
     found = F.filter(F.array_distinct(F.transform("lines", _stripped)), lambda x: x != "")
     lines = pages.select("key", "host", F.explode(found).alias("line")).select("key", "host", F.unhex(F.md5("line")).alias("digest"))
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    if small_hosts:
-        texts = docs.select(F.col(host).alias("host"), F.md5(F.coalesce(text, F.lit(""))).alias("digest")).where("host IS NOT NULL")
-        totals = texts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), (F.min("digest") < F.max("digest")).alias("differ"))
-    bad = materialize(boilerplate(lines, totals, ratio, min_pages, small_hosts), "boilerplate")
+    texts = docs.select(F.col(host).alias("host"), F.md5(F.coalesce(text, F.lit(""))).alias("digest")).where("host IS NOT NULL")
+    totals = texts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), (F.min("digest") < F.max("digest")).alias("differ"))
+    bad = materialize(boilerplate(lines, totals, ratio, min_pages), "boilerplate")
     # by host, too: pages of several hosts may share an id
     marked = lines.join(bad, ["host", "digest"]).groupBy("host", "key").agg(F.collect_set("digest").alias("__line_dedup_bad"))
     marked = marked.withColumnsRenamed({"key": "__line_dedup_key", "host": "__line_dedup_host"})
@@ -82,5 +75,5 @@ def dedup_lines(
 
 
 def dedup_boilerplate(docs: DataFrame) -> DataFrame:
-    """``dedup_lines`` with the measured ratio and the rule for small hosts."""
-    return dedup_lines(docs, ratio=GAP_RATIO, small_hosts=True)
+    """``docs`` with the boilerplate lines taken out of ``text``, all other columns as they are."""
+    return dedup_lines(docs).select(docs.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wordloom.llm import line_dedup as site
 from wordloom.llm import quality_rules as rules
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -78,23 +79,43 @@ r AS (
 SELECT *, NOT base_failed AND {_KEPT} AS kept FROM r
 """
 
-# Digests stand for the units; offsets are counted from 0.
+# Digests stand for the units; offsets are counted from 0.  Places order by start, lines before paragraphs.
+_BREAK = r"'\n[ \t\r]*\n[ \t\r\n]*'"
+
 SUBSTRING_DEDUP = rf"""
-WITH l AS (
-  SELECT doc_id, text, line, i, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start
-  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
-        FROM documents WHERE text IS NOT NULL)
+WITH t AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
+l AS MATERIALIZED (
+  SELECT doc_id, line, i, start::BIGINT AS start, (start + length(line))::BIGINT AS stop,
+         array_to_string(regexp_extract_all({LOWER.replace("text", "line")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), ' ') AS words
+  FROM (
+    SELECT doc_id, line, i, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM t)
+  )
+),
+b AS (
+  SELECT doc_id, part, i, start::BIGINT AS start, (start + length(part))::BIGINT AS stop
+  FROM (
+    SELECT *, sum(length(part) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) - length(part) - length(gap) AS start
+    FROM (
+      SELECT doc_id, unnest(parts) AS part, unnest(list_append(gaps, '')) AS gap, generate_subscripts(parts, 1) AS i
+      FROM (SELECT doc_id, regexp_split_to_array(text, {_BREAK}) AS parts, regexp_extract_all(text, {_BREAK}) AS gaps FROM t)
+    )
+  )
+),
+p AS (
+  SELECT b.doc_id, b.start, b.stop, string_agg(l.words, ' ' ORDER BY l.start) AS words
+  FROM b JOIN l ON l.doc_id = b.doc_id AND l.start < b.stop AND l.stop > b.start
+  WHERE l.words <> '' GROUP BY b.doc_id, b.start, b.stop HAVING count(*) > 1
 ),
 u AS (
-  SELECT doc_id, text, line, i, start::BIGINT AS start, start::BIGINT + length(line) AS stop,
-         regexp_extract_all({LOWER.replace("text", "line")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
-  FROM l
+  SELECT doc_id, start, stop, words, 2 * start AS place FROM l WHERE words <> ''
+  UNION ALL SELECT doc_id, start, stop, words, 2 * start + 1 FROM p
 ),
+again AS MATERIALIZED (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, place) > 1),
 m AS (
-  SELECT *, len(words) >= 20 AND row_number() OVER (
-    PARTITION BY CASE WHEN len(words) >= 20 THEN array_to_string(words, ' ') ELSE doc_id || ':' || i END ORDER BY doc_id, start) > 1 AS gone,
-    max(i) OVER (PARTITION BY doc_id) AS last
-  FROM u
+  SELECT *, max(i) OVER (PARTITION BY doc_id) AS last,
+         EXISTS (SELECT 1 FROM again a WHERE a.doc_id = l.doc_id AND a.start < l.stop AND l.start < a.stop AND l.start < l.stop) AS gone
+  FROM l
 ),
 g AS (
   SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
@@ -136,15 +157,18 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.root AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = d.doc_id
 """
 
-LINE_DEDUP = r"""
+LINE_DEDUP = rf"""
 WITH l AS MATERIALIZED (
   SELECT doc_id, source, line, trim(line, E' \t\n\v\f\r') AS body, i
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 ),
-pages AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
+pages AS (
+  SELECT source, count(*) AS pages, count(DISTINCT coalesce(text, '')) > 1 AS differ FROM documents WHERE source IS NOT NULL GROUP BY source
+),
 bad AS (
   SELECT source, body FROM (SELECT source, body, count(DISTINCT doc_id) AS n FROM l WHERE body <> '' GROUP BY source, body) JOIN pages USING (source)
-  WHERE n >= 5 AND n > 0.1 * pages
+  WHERE n > {site.RATIO!r}::DOUBLE * pages
+    AND (n >= {site.MIN_PAGES} OR pages < {site.MIN_PAGES} AND n = pages AND n >= 2 AND differ)
 ),
 g AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad.body IS NOT NULL) AS n_dropped,

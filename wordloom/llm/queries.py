@@ -27,10 +27,6 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_units(_table(spark, sf_dir, "documents"))
 
 
-def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.passages(_table(spark, sf_dir, "documents"))
-
-
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
@@ -53,11 +49,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
 
 
-def op7_boilerplate_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_boilerplate(_table(spark, sf_dir, "documents"))
-    return found.selectExpr("doc_id", "source", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
-
-
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -91,13 +82,11 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op1_decontamination_near": op1_decontamination_near,
     "op2_substring_dedup": op2_substring_dedup,
-    "op2_passage_dedup": op2_passage_dedup,
     "op3_pii": op3_pii,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
-    "op7_boilerplate_dedup": op7_boilerplate_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,

@@ -1,7 +1,7 @@
 """Substring dedup: repeated lines or paragraphs are kept where they rank first and removed elsewhere.
 
 A unit is normalised to its lower-cased words, so case, punctuation and spacing do not matter,
-and named by a 128-bit digest.  Units of fewer than ``min_words`` words are left alone.  The
+and named by a 128-bit digest.  Units of fewer than ``min_words`` words (by default: without a word) are left alone.  The
 occurrence with the least (rank, row key, offset) stays; repeats inside one text go, too.
 
 Digests are reduced to their first occurrence by an aggregation that combines before its
@@ -12,7 +12,7 @@ columns of the input are not returned.
 
 ``unit="both"`` compares lines and paragraphs at once and removes lines: one goes if it stood
 earlier as a line or if its paragraph's words stood earlier as a unit, however they were broken
-into lines.  ``passages`` does so for every line with a word in it.
+into lines.  This is the default, so passages made of short lines go, too.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_WORDS = 20
+MIN_WORDS = 1
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n[ \t\r\n]*")}
 
 
 def units(text: str, unit: str) -> Iterator[tuple[int, int]]:
@@ -83,7 +83,7 @@ def dedup_units(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    unit: str = "line",
+    unit: str = "both",
     min_words: int = MIN_WORDS,
     rank: str | None = None,
 ) -> DataFrame:
@@ -134,8 +134,3 @@ def dedup_units(
     lost = source.where("key IS NULL").select("key", F.lit(True).alias("free"), "text", F.lit(None).cast("array<bigint>").alias("first"))
     shape = f"key {kind}, n_units bigint, n_removed bigint, removed string, kept string, text string"
     return joined.mapInPandas(cut, shape).unionByName(lost.mapInPandas(cut, shape)).withColumnRenamed("key", key)
-
-
-def passages(docs: DataFrame, rank: str | None = None) -> DataFrame:
-    """``dedup_units`` of lines and paragraphs without a floor: short lines and passages made of them go, too."""
-    return dedup_units(docs, unit="both", min_words=1, rank=rank)
