@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,13 +96,14 @@ def one_hot_positions(examples: DataFrame, vocab_size: int, key: list[str]) -> D
 
 def one_hot_vectors(examples: DataFrame, vocab_size: int, context_size: int) -> DataFrame:
     """Add ``x``: the concatenated one-hot input as a sparse vector, for use with ``pyspark.ml``."""
-    width = vocab_size * context_size
-
-    @F.udf(VectorUDT())
-    def sparse(positions):
-        return Vectors.sparse(width, positions, [1.0] * len(positions))
-
-    return examples.withColumn("x", sparse("x_idx"))
+    slots = [f"__slot{i}" for i in range(context_size)]
+    hots = [f"{slot}_hot" for slot in slots]
+    # the largest category fixes the width of a slot, so the examples are not read to find it
+    widest = examples.sparkSession.range(1).select(*[F.lit(vocab_size - 1).alias(slot) for slot in slots])
+    encoder = OneHotEncoder(inputCols=slots, outputCols=hots, dropLast=False).fit(widest)
+    words = [(F.col("x_idx")[i] % vocab_size).cast("int").alias(slot) for i, slot in enumerate(slots)]
+    encoded = encoder.transform(examples.select("*", *words))
+    return VectorAssembler(inputCols=hots, outputCol="x").transform(encoded).drop(*slots, *hots)
 
 
 def minibatches(
