@@ -80,16 +80,25 @@ def test_proximity_finds_near_terms_in_any_order(spark):
     docs = spark.createDataFrame([(1, "red x x blue"), (2, "blue x red"), (3, "red " + "x " * 50 + "blue"), (4, "red")], "doc_id bigint, text string")
     phrases = spark.createDataFrame([(0, ["red", "blue"]), (1, ["x"])], "phrase_id bigint, phrase array<string>")
     terms = spark.createDataFrame([("red",), ("blue",), ("x",)], "term string")
-    found = decontaminate.proximity_matches(phrases, decontaminate.build_index(docs, terms), slop=5).where("phrase_id = 0")
-    assert sorted(r["doc_id"] for r in found.collect()) == [1, 2]
+    index = decontaminate.build_index(docs, terms)
+    found = decontaminate.proximity_matches(docs, decontaminate.ranked_terms(phrases, index), index, slop=5)
+    assert sorted((r["phrase_id"], r["doc_id"]) for r in found.collect()) == [(0, 1), (0, 2), (1, 1), (1, 2), (1, 3)]
 
 
-def test_near_contamination_equals_brute_force(spark, monkeypatch, tmp_path):
+def test_near_places_of_one_row_do_not_count_in_another_of_its_id(spark):
+    # both rows of id 1 give places of the rarest term; each place is looked up in each row's own words
+    docs = spark.createDataFrame([(1, "red a a a a"), (1, "a a a red blue"), (2, "blue blue blue"), (3, None)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "red blue"), (8, None)], "item_id bigint, text string")
+    got = decontaminate.contamination(docs, items, near=True).collect()
+    assert sorted((r["doc_id"], r["n_near"], r["near_items"]) for r in got) == [(1, 1, "7"), (1, 1, "7"), (2, 0, ""), (3, 0, "")]
+    none = decontaminate.contamination(docs, items.where("false"), near=True).collect()
+    assert [r["n_near"] for r in none] == [0, 0, 0, 0]
+
+
+def test_near_contamination_equals_brute_force(spark, tmp_path):
     from wordloom.llm.queries import QUERIES
 
     rng = random.Random(4)
-    monkeypatch.setattr(decontaminate, "NEAR_PHRASES", 7)
-    monkeypatch.setattr(decontaminate, "NEAR_PLACES", 50)
     pool = [f"w{i}" for i in range(60)]
     items = [" ".join(rng.choice(pool) for _ in range(n)) for n in (1, 2, 4, 5, 9, 10, 14, 25)] + ["", None]
     texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(30)] + [None, ""]
@@ -101,7 +110,7 @@ def test_near_contamination_equals_brute_force(spark, monkeypatch, tmp_path):
         texts.append(" ".join("É" if k % 5 == 3 else x for k, x in enumerate(w)))
     spark.createDataFrame([*enumerate(items)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     table(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r for r in QUERIES["op1_decontamination_near"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r for r in QUERIES["op1_decontamination"](spark, str(tmp_path)).collect()}
     counts = {}
     for text in [*texts, "no id at all"]:
         for x in alnum(text):

@@ -6,10 +6,11 @@ rarest terms: the posting lists of the two rarest are shifted by the terms' offs
 intersected on (document, start), and what is left is compared word by word.  Documents never
 meet each other and a hot term is only listed for phrases that have no rarer one.
 
-Near matches (``near_matches``) are places where all distinct terms of a phrase stand within ``slop``
+Near matches (``proximity_matches``) are places where all distinct terms of a phrase stand within ``slop``
 words of one of its rarest, in any order, but for one term of a phrase of ``TOLERANT`` and more.  With
-one missing, one of the two rarest is still there, so the places of these two are looked up in a
-positional list of each document, and all other terms are counted around them.
+one missing, one of the two rarest is still there, and so are two of the three rarest.  So the posting
+lists of these three meet in a window of ``slop`` positions on either side, and where enough of them
+stand together the other terms are counted in the text around.
 
 Null or empty texts have no words and no hits; items without words are no phrase.  Rows without
 ``doc_id`` are never hit.  Rows that repeat a ``doc_id`` each give a result row and share their hits.  Only ``doc_id``/``item_id`` and ``text`` are read, other columns are ignored.
@@ -17,11 +18,6 @@ Null or empty texts have no words and no hits; items without words are no phrase
 
 from __future__ import annotations
 
-import string
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -34,9 +30,8 @@ WINDOW = 10
 BROADCAST_ROWS = 200_000
 # Near matches: words between a rare term and the others at most; distinct terms from which one may be missing.
 SLOP, TOLERANT = 20, 5
-# Phrases that are sent to the workers at once, and places that are looked at together.
-NEAR_PHRASES, NEAR_PLACES = 100_000, 1 << 16
-TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b) in string.ascii_lowercase + string.digits else 32 for b in range(256))
+# Posting lists that meet for a near match.
+NEAR_LISTS = 3
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -80,9 +75,9 @@ def postings(index: DataFrame) -> DataFrame:
     return index.where(F.col("term").isNotNull()).select("doc_id", "pos", "term")
 
 
-def rarest_terms(phrases: DataFrame, index: DataFrame, keep: int) -> DataFrame:
-    """phrase_id, term, offset, rank, terms: the ``keep`` distinct terms of each phrase with the fewest
-    postings; ``terms`` counts the phrase's distinct terms."""
+def ranked_terms(phrases: DataFrame, index: DataFrame) -> DataFrame:
+    """Write phrase_id, term, offset, rank, terms: the distinct terms of each phrase, those with the fewest
+    postings first; ``terms`` counts them."""
     counts = postings(index).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     terms = phrases.select("phrase_id", F.posexplode("phrase").alias("offset", "term"))
     first = terms.groupBy("phrase_id", "term").agg(F.min("offset").alias("offset"))
@@ -90,16 +85,14 @@ def rarest_terms(phrases: DataFrame, index: DataFrame, keep: int) -> DataFrame:
     # a term without postings ends its phrase: inner joins on it find nothing
     ranked = first.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     ranked = ranked.withColumn("rank", F.row_number().over(order))
-    ranked = ranked.withColumn("terms", F.count(F.lit(1)).over(Window.partitionBy("phrase_id")))
-    return ranked.where(F.col("rank") <= keep)
+    return materialize(ranked.withColumn("terms", F.count(F.lit(1)).over(Window.partitionBy("phrase_id"))), "ranked")
 
 
-def phrase_matches(docs: DataFrame, phrases: DataFrame, index: DataFrame) -> DataFrame:
+def phrase_matches(docs: DataFrame, phrases: DataFrame, ranked: DataFrame, index: DataFrame) -> DataFrame:
     """phrase_id, doc_id, start (from 0), length: each place where the words of ``phrase`` stand in a row."""
-    anchors = materialize(rarest_terms(phrases, index, 2), "anchors")
 
     def shifted(rank: int) -> DataFrame:
-        listed = small(anchors.where(F.col("rank") == rank).select("phrase_id", "term", "offset", "terms"))
+        listed = small(ranked.where(F.col("rank") == rank).select("phrase_id", "term", "offset", "terms"))
         start = (F.col("pos") - F.col("offset")).alias("start")
         return postings(index).join(listed, "term").select("phrase_id", "doc_id", start, "terms").where("start >= 0")
 
@@ -115,100 +108,40 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, index: DataFrame) -> Dat
     return found.select("p.phrase_id", "doc_id", "p.start", F.size("p.phrase").alias("length"))
 
 
-def proximity_matches(phrases: DataFrame, index: DataFrame, slop: int = 20, terms: int = 3) -> DataFrame:
-    """phrase_id, doc_id, pos: occurrences of a phrase's rarest term that have its other ``terms - 1``
-    rarest terms, in any order, at most ``slop`` words away.
-
-    The lists meet on (document, block of ``slop`` positions), each posting standing in its own
-    block and the two beside it, so no list is compared with a whole other one.
-    """
-    anchors = materialize(rarest_terms(phrases, index, terms), "near")
-    listed = small(anchors.select("phrase_id", "term", "rank"))
-    wanted = anchors.groupBy("phrase_id").agg(F.count(F.lit(1)).alias("wanted"))
-    rows = postings(index).join(listed, "term")
-    block = F.floor(F.col("pos") / slop)
-    heads = rows.where("rank = 1").select("phrase_id", "doc_id", "pos", F.explode(F.array(block - 1, block, block + 1)).alias("block"))
-    others = rows.where("rank > 1").select("phrase_id", "doc_id", F.col("pos").alias("other"), "rank", block.alias("block"))
-    near = heads.join(others, ["phrase_id", "doc_id", "block"]).where(F.abs(F.col("pos") - F.col("other")) <= slop)
-    met = near.groupBy("phrase_id", "doc_id", "pos").agg(F.countDistinct("rank").alias("met"))
-    single = rows.where("rank = 1").join(small(materialize(wanted, "wanted")).where("wanted = 1"), "phrase_id")
-    full = met.join(small(materialize(wanted, "wanted")), "phrase_id").where("met = wanted - 1")
-    return full.select("phrase_id", "doc_id", "pos").unionByName(single.select("phrase_id", "doc_id", "pos"))
-
-
-class NearIndex:
-    """Phrases by the terms they are looked up from: flat arrays of distinct terms, rarest first."""
-
-    def __init__(self, phrases: list[tuple[int, list[str]]]) -> None:
-        names = sorted({t for _, terms in phrases for t in terms})
-        self.term = {t.encode(): i for i, t in enumerate(names)}
-        self.ids = np.array([i for i, _ in phrases], np.int64)
-        self.size = np.array([len(terms) for _, terms in phrases], np.intp)
-        self.least = np.where(self.size >= TOLERANT, self.size - 1, self.size)
-        self.terms = np.full((len(phrases), self.size.max(initial=1)), -1, np.int64)
-        for row, (_, terms) in zip(self.terms, phrases):
-            row[: len(terms)] = [self.term[t.encode()] for t in terms]
-        heads = [(self.term[t.encode()], p) for p, (_, terms) in enumerate(phrases) for t in terms[: 2 if len(terms) >= TOLERANT else 1]]
-        head = np.array(sorted(heads), np.int64).reshape(-1, 2)
-        self.listed = head[:, 1]
-        self.first = np.searchsorted(head[:, 0], np.arange(len(names) + 1))
-
-    def matches(self, text: str | None, slop: int) -> Iterator[np.ndarray]:
-        """Numbers of phrases (with repeats) that stand near each other somewhere in ``text``."""
-        words = (text or "").encode("utf-8", "surrogatepass").translate(TO_WORDS).split()
-        get = self.term.get
-        coded = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        pos = np.flatnonzero(coded >= 0)
-        term = coded[pos]
-        room = len(words) + 2 * slop + 2
-        places = np.append(np.sort(term * room + pos), np.iinfo(np.int64).max)
-        many = self.first[term + 1] - self.first[term]
-        pos, term, many = pos[many > 0], term[many > 0], many[many > 0]
-        ends = np.cumsum(many)
-        for lo in range(0, int(ends[-1]) if len(ends) else 0, NEAR_PLACES):
-            at = np.arange(lo, min(lo + NEAR_PLACES, int(ends[-1])))
-            row = np.searchsorted(ends, at, "right")
-            phrase = self.listed[self.first[term[row]] + at - (ends[row] - many[row])]
-            middle = pos[row]
-            missing = np.zeros(len(at), np.intp)
-            for k in range(self.terms.shape[1]):
-                wanted = self.terms[phrase, k]
-                low = wanted * room + middle - slop
-                # (a term's stretch is longer than any reach over its ends, so no other term answers)
-                near = places[np.searchsorted(places, np.maximum(low, wanted * room))] <= low + 2 * slop
-                missing += (wanted >= 0) & ~near
-                stay = missing <= self.size[phrase] - self.least[phrase]
-                phrase, middle, missing = phrase[stay], middle[stay], missing[stay]
-            yield np.unique(phrase)
-
-
-def near_matches(docs: DataFrame, phrases: DataFrame, index: DataFrame, slop: int = SLOP) -> DataFrame:
+def proximity_matches(docs: DataFrame, ranked: DataFrame, index: DataFrame, slop: int = SLOP) -> DataFrame:
     """doc_id, phrase_id (may repeat): documents where a phrase's terms stand near each other.
 
-    Phrases go to the workers in blocks, one scan of ``docs`` each.
+    The lists of the three rarest terms are dealt by phrase and document, so neither a hot term nor a long
+    document comes into one task whole.
     """
-    counts = postings(index).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    terms = phrases.select("phrase_id", F.explode(F.array_distinct("phrase")).alias("term"))
-    known = terms.join(counts, "term", "left").select("phrase_id", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term").alias("t"))
-    ordered = known.groupBy("phrase_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    blocks = (phrases.count() - 1) // NEAR_PHRASES + 1
-    ordered = ordered.withColumn("block", F.pmod(F.xxhash64("phrase_id"), F.lit(max(blocks, 1))))
-    ordered = materialize(ordered.select("phrase_id", "block", F.col("t.term").alias("terms")), "near-phrases")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.sparkSession.createDataFrame([], f"doc_id {kind}, phrase_id bigint")
-    for block in range(blocks):
-        looked = NearIndex([(r["phrase_id"], r["terms"]) for r in ordered.where(F.col("block") == block).collect()])
-
-        def run(batches: Iterator[pd.DataFrame], looked: NearIndex = looked) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                hits = [(row, phrase) for row, text in zip(batch["doc_id"], batch["text"]) for phrase in looked.matches(text, slop) if len(phrase)]
-                if hits:
-                    rows = pd.Series([row for row, _ in hits]).repeat([len(phrase) for _, phrase in hits])
-                    yield pd.DataFrame({"doc_id": rows.to_numpy(), "phrase_id": looked.ids[np.concatenate([phrase for _, phrase in hits])]})
-
-        here = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-        found = found.unionByName(here.mapInPandas(run, f"doc_id {kind}, phrase_id bigint"))
-    return found
+    spare = (F.col("terms") >= TOLERANT).cast("int")
+    rarest = small(ranked.where(F.col("rank") <= NEAR_LISTS).select("phrase_id", "term", "rank", "terms"))
+    lists = postings(index).where("doc_id IS NOT NULL").join(rarest, "term").select("phrase_id", "doc_id", "pos", "rank", "terms")
+    around = Window.partitionBy("phrase_id", "doc_id").orderBy("pos").rangeBetween(-slop, slop)
+    met = F.bit_count(F.bit_or(F.expr("shiftleft(1, rank)")).over(around))
+    enough = F.least("terms", F.lit(NEAR_LISTS)) - spare
+    heads = lists.withColumn("met", met).where((F.col("rank") <= 1 + spare) & (F.col("met") >= enough))
+    places = heads.groupBy("phrase_id", "doc_id").agg(F.collect_list("pos").alias("places"))
+    in_order = F.sort_array(F.collect_list(F.struct("rank", "term")))
+    terms = materialize(ranked.groupBy("phrase_id").agg(in_order["term"].alias("terms")), "near-terms")
+    # the other terms of what is left, a document's at once
+    listed = places.join(small(terms), "phrase_id").groupBy("doc_id")
+    listed = listed.agg(F.collect_list(F.struct("phrase_id", "places", "terms")).alias("phrases"))
+    texts = docs.select("doc_id", "text").join(listed, "doc_id").select("doc_id", "phrases", alnum_words(F.col("text")).alias("words"))
+
+    def close(phrase: Column) -> Column:
+        terms, size = phrase["terms"], F.size(phrase["terms"])
+        spare = (size >= TOLERANT).cast("int")
+
+        def here(at: Column) -> Column:
+            low = F.greatest(at - slop, F.lit(0))
+            met = F.array_intersect(F.slice("words", low + 1, at - low + slop + 1), terms)
+            # (a place may come from another row with the same id)
+            return F.array_contains(F.slice(terms, F.lit(1), spare + 1), F.get("words", at)) & (F.size(met) >= size - spare)
+
+        return F.exists(phrase["places"], here)
+
+    return texts.select("doc_id", F.explode(F.filter("phrases", close)).alias("p")).select("doc_id", "p.phrase_id")
 
 
 def _covered(spans: Column) -> Column:
@@ -230,7 +163,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, near:
     phrases = of_items.select("phrase").distinct().select(F.monotonically_increasing_id().alias("phrase_id"), "phrase")
     phrases = materialize(phrases, "distinct-windows")
     index = build_index(docs, materialize(phrases.select(F.explode("phrase").alias("term")).distinct(), "terms"))
-    found = materialize(phrase_matches(docs, phrases, index), "matches")
+    ranked = ranked_terms(phrases, index)
+    found = materialize(phrase_matches(docs, phrases, ranked, index), "matches")
     spans = found.select("doc_id", "start", (F.col("start") + F.col("length")).alias("end")).distinct()
     hits = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     hits = hits.select("doc_id", _covered(F.col("spans")).alias("n_hit"))
@@ -243,7 +177,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, near:
     joined, more = base.join(hits, "doc_id", "left").join(listed, "doc_id", "left"), []
     if near:
         # (an exact place is a near one unless its phrase repeats one term further than the slop)
-        close = near_matches(docs, phrases, index).unionByName(found.select("doc_id", "phrase_id")).distinct()
+        close = proximity_matches(docs, ranked, index).unionByName(found.select("doc_id", "phrase_id")).distinct()
         close = close.join(named, "phrase_id").select("doc_id", "item_id").distinct()
         close = close.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("close"))
         joined = joined.join(close, "doc_id", "left")

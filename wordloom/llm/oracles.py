@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from wordloom.llm import line_dedup as site
 from wordloom.llm import quality_rules as rules
+from wordloom.llm.decontaminate import SLOP, TOLERANT
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 DECONTAMINATION = rf"""
-WITH d AS MATERIALIZED (SELECT doc_id, {ALNUM_WORDS} AS words FROM documents),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {ALNUM_WORDS} AS words FROM documents),
 b AS (SELECT item_id, {ALNUM_WORDS} AS words FROM benchmark),
 w AS MATERIALIZED (
   SELECT DISTINCT item_id, least(len(words), 10) AS l, array_to_string(words[s:s + least(len(words), 10) - 1], ' ') AS phrase
@@ -25,10 +26,33 @@ hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(
 items AS (
   SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY doc_id
+),
+tok AS MATERIALIZED (SELECT r, doc_id, unnest(words) AS term, generate_subscripts(words, 1) AS pos FROM d),
+t AS MATERIALIZED (
+  SELECT phrase, term, row_number() OVER (PARTITION BY phrase ORDER BY coalesce(n, 0), term) AS rank,
+         count(*) OVER (PARTITION BY phrase) AS terms
+  FROM (SELECT DISTINCT phrase, unnest(string_split(phrase, ' ')) AS term FROM w)
+  LEFT JOIN (SELECT term, count(*) AS n FROM tok GROUP BY term) USING (term)
+),
+place AS (
+  SELECT phrase, terms, r, doc_id, pos FROM tok JOIN t USING (term)
+  WHERE doc_id IS NOT NULL AND rank <= CASE WHEN terms >= {TOLERANT} THEN 2 ELSE 1 END
+),
+around AS (SELECT phrase, terms, r, doc_id, pos AS middle, unnest(range(pos - {SLOP}, pos + {SLOP} + 1)) AS pos FROM place),
+near AS (
+  SELECT DISTINCT doc_id, phrase FROM (
+    SELECT around.doc_id, phrase, around.terms, middle, count(DISTINCT term) AS met
+    FROM around JOIN tok USING (r, pos) JOIN t USING (phrase, term) GROUP BY ALL
+  ) WHERE met >= CASE WHEN terms >= {TOLERANT} THEN terms - 1 ELSE terms END
+),
+near_items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS close
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM near JOIN w USING (phrase)) GROUP BY doc_id
 )
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated,
+       coalesce(near_items.n, 0)::BIGINT AS n_near, coalesce(close, '') AS near_items
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near_items USING (doc_id)
 """
 
 _STOP = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)

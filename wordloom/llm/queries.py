@@ -16,10 +16,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-
-
-def op1_decontamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), near=True)
 
 
@@ -80,7 +76,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
-    "op1_decontamination_near": op1_decontamination_near,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_pii": op3_pii,
     "op4_quality_classifier": op4_quality_classifier,
