@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+NOT_ALNUM_CHARS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
 
 def lower_ascii(text: Column) -> Column:
@@ -30,8 +31,10 @@ def space_words(text: Column) -> Column:
 
 def alnum_words(text: Column) -> Column:
     """Runs of digits, letters and non-ASCII characters of the lower-cased text; null has none."""
-    spaced = F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), NOT_ALNUM, " ")
-    return _split(F.btrim(spaced, F.lit(" ")), " ")
+    text = F.coalesce(text, F.lit(""))
+    # (pure ASCII, the usual case, needs no table of characters)
+    lower = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(lower_ascii(text))
+    return _split(F.btrim(lower, F.lit(NOT_ALNUM_CHARS)), NOT_ALNUM)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
