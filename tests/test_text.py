@@ -166,3 +166,14 @@ def test_segmenting_defines_odd_lines(spark):
     empty = segmentation.train(lines.where("false"))
     assert empty.types.count() == 0 and segmentation.segment(lines.where("false"), empty).count() == 0
     assert segmentation.segment(odd.limit(1), empty).first()["sentences"] == ["The dogs ran.", "The cats too."]
+
+
+def test_blanks_are_no_matches_of_the_white_space_class(spark):
+    """Words are apart by blanks already; replacing each by itself was most of the tokeniser's work."""
+    assert not re.search(tx.SPACE_CLASS.replace("\\x{85}", "\x85").split("\\x{A0}")[0] + "]", " ")
+    line = "A\tb c d  e.  GoNNa f caNNOT"
+    df = spark.createDataFrame([(0, line), (1, "  can't　stop "), (2, "--- 12")], "doc_id int, text string")
+    found = corpus.sentences(corpus.read_lines(df)).orderBy("doc_id", "sent_no").collect()
+    assert [r["toks"] for r in found] == [
+        ["a", "b", "c", "d", "e"], ["gon", "na", "f", "can", "not"], ["ca", "nt", "stop"]
+    ]
