@@ -240,3 +240,21 @@ def test_wide_rows_are_not_broadcast(spark, monkeypatch):
     fact = spark.range(1000).select((F.col("id") % 200).alias("k"))
     assert joins.skew_safe_join(fact, dim, "k", "n").count() == 1000
     assert sent and max(sent) * 800 <= 4096
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 20 * 8 * 3, 8])
+def test_sparse_products_shuffle_cells_not_vectors(spark, block_bytes):
+    rng = np.random.default_rng(2)
+    dense = np.where(rng.random((20, 20)) < 0.3, rng.integers(1, 9, (20, 20)), 0).astype(float)
+    dense[7] = 0.0
+    v = rng.random((20, 7))
+    at = [(int(i), int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
+    cells = spark.createDataFrame(at, "row int, col int, value double")
+    vectors = spark.createDataFrame([(i, v[i].tolist()) for i in range(20) if i != 3], "id int, vec array<double>")
+    v[3] = 0.0
+    found = decomposition._times(cells, vectors, "row", "col", block_bytes)
+    got = {r["id"]: np.array(r["vec"]) for r in found.collect()}
+    met = {j for i, j, _ in at if i != 3}
+    assert set(got) == met and all(np.allclose(got[j], (dense.T @ v)[j]) for j in met)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("Join" in plan) == (block_bytes == 8)
