@@ -496,3 +496,26 @@ def test_lazy_rows_catch_up_with_dense_ones():
             last[touched] = t
         rule.catch_up(*lazy, last, 11)
         assert all(np.allclose(a, b, atol=1e-13) for a, b in zip(lazy, dense))
+
+
+def test_best_words_are_found_without_sorting_all(monkeypatch):
+    rng = np.random.default_rng(3)
+    cells = rng.integers(0, 4, (50, 30)).astype(float)
+    cells[0] = -np.inf
+    cells[1, 3:] = -np.inf
+    want = {k: np.argsort(-cells, axis=1, kind="stable")[:, :k] for k in (1, 2, 5, 30)}
+    kept = cells.copy()
+    for k, best in want.items():
+        assert (lm._best(cells, k) == best).all() and (cells == kept).all()
+    finite = cells[2:].copy()
+    monkeypatch.setattr(np, "argsort", None)
+    assert (lm._best(finite, 5) == want[5][2:]).all()
+
+
+def test_sums_of_powers_hold_for_large_logits():
+    cells = np.array([[1000.0, 999.0], [-900.0, -900.0]])
+    want = np.exp(cells - cells.max(axis=1)[:, None]).sum(axis=1)
+    assert np.allclose(lm._sum_exp(cells.copy(), cells.max(axis=1)), want, rtol=1e-14)
+    small = np.array([[3.0, 2.0], [-500.0, -501.0]])
+    want = np.exp(small - small.max(axis=1)[:, None]).sum(axis=1)
+    assert np.allclose(lm._sum_exp(small.copy(), small.max(axis=1)), want, rtol=1e-13)
