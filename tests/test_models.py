@@ -519,3 +519,23 @@ def test_sums_of_powers_hold_for_large_logits():
     small = np.array([[3.0, 2.0], [-500.0, -501.0]])
     want = np.exp(small - small.max(axis=1)[:, None]).sum(axis=1)
     assert np.allclose(lm._sum_exp(small.copy(), small.max(axis=1)), want, rtol=1e-13)
+
+
+def test_lookups_leave_examples_in_place(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [int(rng.integers(9)) + 9 * j for j in range(3)], int(rng.integers(9))) for i in range(40)]
+    examples = spark.createDataFrame([*rows, (40, [], 1), (41, [8, 17, 26], 1)], "ex_id int, x_idx array<bigint>, y int")
+    vectors = spark.createDataFrame([(i, [i + 0.5, -1.0 * i], 3) for i in range(8)], "id int, vec array<double>, n bigint")
+    params = materialize(lm.init_params(spark, 9, 3, 2, 4, seed=1), "lookup-params")
+
+    def found():
+        x = lm.embed_lookup(examples, vectors, 9, ["ex_id"])
+        h = lm.hidden_vectors(examples, params, 9, ["ex_id"]).select("ex_id", "h")
+        return x._jdf.queryExecution().executedPlan().toString(), *[dict(map(tuple, df.collect())) for df in (x, h)]
+
+    plan, x, h = found()
+    assert "Exchange" not in plan and 40 not in x and 41 not in x and 40 not in h
+    monkeypatch.setattr(lm, "BROADCAST_BYTES", 0)
+    plan, x_joined, h_joined = found()
+    assert "Exchange" in plan and x == x_joined and set(h) == set(h_joined)
+    assert all(np.allclose(h[i], h_joined[i], rtol=1e-14) for i in h)
