@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +178,21 @@ def test_blanks_are_no_matches_of_the_white_space_class(spark):
     assert [r["toks"] for r in found] == [
         ["a", "b", "c", "d", "e"], ["gon", "na", "f", "can", "not"], ["ca", "nt", "stop"]
     ]
+
+
+def test_words_are_described_as_defined_and_with_few_patterns(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("aZéß1(\"'[{«“‘¿¡)]}»”’,;:.!?\\-") for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    words += ["word", "Word", "Über", "ǅ", "3.5.", "etc.,", "No.)", "...", "end!\"", "(a)", "…", "x́", "漢字"]
+    told = spark.createDataFrame([(w,) for w in words], "w string").select("w", segmentation.describe(F.col("w")).alias("t"))
+    for row in told.collect():
+        core = re.sub(r"[)\"'\]}»”’,;:]+$", "", re.sub(r"^[(\"'\[{«“‘¿¡]+", "", row["w"]))
+        period, paused = core.endswith(".") and not core.endswith(".."), re.search(r"[,;:][)\"'\]}»”’,;:]*$", row["w"])
+        end = ("paused" if paused else "period") if period else "mark" if core[-1:] in ("!", "?") and core and not paused else "plain"
+        bare = (core[:-1] if period else core).lower()
+        case = {"Lu": "upper", "Ll": "lower"}.get(unicodedata.category(core[0]) if core else "", "none")
+        assert tuple(row["t"]) == ("#" if re.search("^[0-9][0-9.,]*$", bare) else bare, case, end), row["w"]
+    # a word's core was looked for again wherever it was used, and once more for each use of the words
+    lines = spark.createDataFrame([("A line.",)], "line string")
+    plan = segmentation._described(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("rlike") + plan.lower().count("regexp_replace") <= 8

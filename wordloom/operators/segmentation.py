@@ -23,7 +23,7 @@ from wordloom.sources.scratch import materialize
 # The method's published thresholds and the probability of a period behind an abbreviation.
 ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
 PERIOD_AFTER_ABBREVIATION = 0.99
-OPENING, CLOSING, PAUSE = "(\"'\\[{«“‘¿¡", ")\"'\\]}»”’", ",;:"
+OPENING, CLOSING, PAUSE = "(\"'[{«“‘¿¡", ")\"']}»”’", ",;:"
 NUMBER = "#"
 COUNTS = ["upper_begin", "lower_begin", "upper_inside", "lower_inside", "upper_unknown"]
 
@@ -37,29 +37,49 @@ class SentenceModel(NamedTuple):
 
 def line_words(line: Column) -> Column:
     """The words of a line as they stand between blanks."""
-    return F.filter(F.split(F.regexp_replace(line, tx.SPACE_CLASS, " "), " "), lambda w: w != "")
+    return F.array_remove(F.split(F.regexp_replace(line, tx.SPACE_CLASS, " "), " "), "")
+
+
+def _case(word: Column) -> Column:
+    return F.when(F.regexp_like(word, F.lit("^\\p{Ll}")), "lower").when(F.regexp_like(word, F.lit("^\\p{Lu}")), "upper").otherwise("none")
+
+
+def _told(typ: Column, case: Column, end: Column) -> Column:
+    return F.struct(typ.alias("typ"), case.alias("case"), end.alias("end"))
+
+
+def _describe_core(word: Column, core: Column) -> Column:
+    """``describe`` for a word of which ``core`` is left between quotes, brackets and pauses."""
+    period = core.endswith(".") & ~core.endswith("..")
+    # of a word with a core, all that may stand behind it
+    paused = F.translate(F.substring(word, F.length(F.rtrim(word, F.lit(CLOSING + PAUSE))) + 1, F.length(word)), CLOSING, "") != ""
+    end = F.when(period, F.when(paused, "paused").otherwise("period")).when((core.endswith("!") | core.endswith("?")) & ~paused, "mark").otherwise("plain")
+    bare = F.lower(F.when(period, F.substring(core, F.lit(1), F.length(core) - 1)).otherwise(core))
+    return _told(F.when(F.regexp_like(core, F.lit("^[0-9][0-9.,]*$")), NUMBER).otherwise(bare), _case(core), end)
 
 
 def describe(word: Column) -> Column:
     """Type, case of the first letter and kind of end of one word.
 
     ``end``: ``mark`` (! or ?), ``period`` (one period), ``paused`` (a period with a pause behind it) or ``plain``.
+    A word of letters, as most are, is its own type and skips the rest.
     """
-    core = F.regexp_replace(F.regexp_replace(word, f"^[{OPENING}]+", ""), f"[{CLOSING}{PAUSE}]+$", "")
-    period = core.endswith(".") & ~core.endswith("..")
-    paused = F.regexp_like(word, F.lit(f"[{PAUSE}][{CLOSING}{PAUSE}]*$"))
-    end = F.when(period & paused, "paused").when(period, "period").when(F.regexp_like(core, F.lit("[!?]$")) & ~paused, "mark").otherwise("plain")
-    bare = F.lower(F.when(period, F.regexp_replace(core, "\\.$", "")).otherwise(core))
-    typ = F.when(F.regexp_like(bare, F.lit("^[0-9][0-9.,]*$")), NUMBER).otherwise(bare)
-    case = F.when(F.regexp_like(core, F.lit("^\\p{Lu}")), "upper").when(F.regexp_like(core, F.lit("^\\p{Ll}")), "lower").otherwise("none")
-    return F.struct(typ.alias("typ"), case.alias("case"), end.alias("end"))
+    core = F.rtrim(F.ltrim(word, F.lit(OPENING)), F.lit(CLOSING + PAUSE))
+    # inside a lambda nothing is shared: the core is bound by a transform of its own, so it is found once
+    marked = F.transform(F.array(core), lambda c: _describe_core(word, c))[0]
+    return F.when(F.regexp_like(word, F.lit("^\\p{L}+$")), _told(F.lower(word), _case(word), F.lit("plain"))).otherwise(marked)
+
+
+def _once(name: str, value: Column) -> Column:
+    """``value`` as a column that later steps read and never compute anew, as they would below a generator or in a filter derived from it."""
+    return F.explode(F.array(value)).alias(name)
 
 
 def _described(lines: DataFrame) -> DataFrame:
     """One row per word with the one before it in its line."""
-    words = lines.select(F.transform(line_words(F.col("line")), describe).alias("words"))
+    words = lines.select(_once("words", F.transform(line_words(F.col("line")), describe)))
     pairs = F.transform("words", lambda w, i: F.struct(F.get("words", i - 1).alias("prev"), w.alias("word")))
-    return words.select(F.explode(pairs).alias("p")).select("p.prev", "p.word")
+    return words.select(_once("pairs", pairs)).select(F.explode("pairs").alias("p")).select("p.prev", "p.word")
 
 
 def _xlogy(x: Column, y: Column) -> Column:
@@ -182,29 +202,28 @@ def segment(lines: DataFrame, model: SentenceModel, key: list[str] | None = None
     tables; of a line's text nothing but these words is joined.
     """
     key = key or ["doc_id", "line_no"]
-    words = lines.withColumn("_digest", F.xxhash64("line")).withColumn("_words", line_words(F.col("line")))
-    told = F.transform(F.col("_words"), describe)
-    spots = words.select(*key, "_digest", told.alias("t")).select(
-        *key, "_digest", F.explode(F.filter(F.transform("t", lambda w, i: F.struct(
-            i.alias("at"), w["typ"].alias("typ"), w["end"].alias("end"), F.get("t", i + 1).alias("after"))),
-            lambda s: s["after"].isNotNull() & s["end"].isin("period", "mark"))).alias("s"),
-    ).select(*key, "_digest", "s.at", "s.typ", "s.end", F.col("s.after.typ").alias("next"), F.col("s.after.case").alias("case"))
-    periods = spots.where(F.col("end") == "period")
-    periods = skew_safe_join(periods, model.types.select("typ", "abbreviation", F.col("n").alias("n_typ")), "typ", "n_typ", how="left")
+    words = lines.select("*", F.xxhash64("line").alias("_digest"), _once("_words", line_words(F.col("line"))))
+    told = words.select(*key, "_digest", _once("t", F.transform("_words", describe)))
+    ended = F.filter(F.transform("t", lambda w, i: F.struct(
+        i.alias("at"), w["typ"].alias("typ"), w["end"].alias("end"), F.get("t", i + 1).alias("after"))),
+        lambda s: s["after"].isNotNull() & s["end"].isin("period", "mark"))
+    spots = told.select(*key, "_digest", _once("spots", ended)).select(*key, "_digest", F.explode("spots").alias("s"))
+    # written, for each join below may read them several times; what the model knows changes nothing for marks
+    spots = materialize(spots.select(*key, "_digest", "s.at", "s.typ", "s.end", F.col("s.after.typ").alias("next"), F.col("s.after.case").alias("case")), "sentence_spots")
+    spots = skew_safe_join(spots, model.types.select("typ", "abbreviation", F.col("n").alias("n_typ")), "typ", "n_typ", how="left")
     about = model.types.select(F.col("typ").alias("next"), "starter", *COUNTS, "n")
-    periods = skew_safe_join(periods, about, "next", "n", how="left")
+    spots = skew_safe_join(spots, about, "next", "n", how="left")
     together = model.collocations.select("typ", "next", F.lit(True).alias("together"))
     # words that the model has not seen are no abbreviations and never written otherwise
-    periods = periods.join(together, ["typ", "next"], "left")
-    periods = periods.fillna(False, ["together", "abbreviation", "starter"]).fillna(0, COUNTS)
-    marks = spots.where(F.col("end") == "mark")
-    ends = periods.where(_ends_sentence()).select(*key, "_digest", "at").unionByName(marks.select(*key, "_digest", "at"))
+    spots = spots.join(together, ["typ", "next"], "left")
+    spots = spots.fillna(False, ["together", "abbreviation", "starter"]).fillna(0, COUNTS)
+    ends = spots.where((F.col("end") == "mark") | _ends_sentence()).select(*key, "_digest", "at")
     # rows that share a key are told apart by their text; equal rows have equal ends
     by_line = ends.groupBy(*key, "_digest").agg(F.sort_array(F.collect_set(F.col("at") + 1)).alias("_ends")).alias("e")
     same = [F.col(f"w.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*key, "_digest"]]
     joined = words.alias("w").join(by_line, same, "left").select("w.*", "_ends")
     edges = F.concat(F.array(F.lit(0)), F.coalesce("_ends", F.array().cast("array<int>")), F.array(F.size("_words")))
-    joined = joined.withColumn("_edges", edges)
+    joined = joined.select("*", _once("_edges", edges))
     cut = F.transform(F.sequence(F.lit(0), F.size("_edges") - 2), lambda i: F.array_join(
         F.slice("_words", F.get("_edges", i) + 1, F.get("_edges", i + 1) - F.get("_edges", i)), " "))
     return joined.withColumn("sentences", F.when(F.size("_words") > 0, cut).otherwise(F.array().cast("array<string>"))).drop("_words", "_digest", "_ends", "_edges")
@@ -212,5 +231,5 @@ def segment(lines: DataFrame, model: SentenceModel, key: list[str] | None = None
 
 def sentences_of(lines: DataFrame, model: SentenceModel) -> DataFrame:
     """``(doc_id, line_no, sent_no, sentence)``: each sentence of each line."""
-    cut = segment(lines, model)
+    cut = segment(lines, model).select("doc_id", "line_no", _once("sentences", F.col("sentences")))
     return cut.select("doc_id", "line_no", F.posexplode("sentences").alias("sent_no", "sentence"))
