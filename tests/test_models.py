@@ -1,3 +1,4 @@
+import hashlib
 import inspect
 
 import numpy as np
@@ -539,3 +540,37 @@ def test_lookups_leave_examples_in_place(spark, monkeypatch):
     plan, x_joined, h_joined = found()
     assert "Exchange" in plan and x == x_joined and set(h) == set(h_joined)
     assert all(np.allclose(h[i], h_joined[i], rtol=1e-14) for i in h)
+
+
+def test_windows_hash_each_word_once(spark):
+    schema = "doc_id int, line_no int, sent_no int, kept array<struct<pos: int, id: int>>"
+    kept = spark.createDataFrame([(None, 0, 0, [(0, 3), (2, 4), (3, 3)]), (7, 1, 0, [(0, 1)])], schema)
+    windows = word2vec.context_windows(kept, 2, seed=5, epoch=1)
+    want = set()
+    for pos, center in [(0, 3), (2, 4), (3, 3)]:
+        # a key that is null leaves no part of the hashed text
+        wide = int(hashlib.md5(f"5|window|1|0|0|{pos}".encode()).hexdigest()[:8], 16) % 2 + 1
+        ctx = {0: [4, 3][:wide], 2: [3, 3], 3: [3, 4][-wide:]}[pos]
+        want.add((None, pos, center, tuple(ctx)))
+    assert {(r["doc_id"], r["pos"], r["center"], tuple(r["ctx"])) for r in windows.collect()} == want
+    # it was hashed again for each use of the width, and once more by a filter on the windows
+    assert windows._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+def test_exploded_noise_is_drawn_once(spark, random_sents):
+    vocab = materialize(vocabulary.vocabulary(vocabulary.token_counts(random_sents), 1), "vocab")
+    schema = "doc_id int, line_no int, sent_no int, pos int, center int, ctx array<int>"
+    windows = spark.createDataFrame([(1, 0, 0, 2, 3, [1, 2]), (None, 0, 0, 0, 0, [5])], schema)
+    noise = word2vec.negative_samples(windows, vocab, 3, seed=4).select("doc_id", F.explode("noise").alias("id"))
+    assert noise._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 3
+    total, ends = 0, []
+    for row in vocab.orderBy("id").collect():
+        total += round(row["n"] ** 0.75 * 1000)
+        ends.append(total)
+    want = []
+    for doc, place, word in [(1, "1|0|0|2|0", 1), (1, "1|0|0|2|1", 2), (None, "0|0|0|0", 5)]:
+        for j in range(3):
+            at = int(int(hashlib.md5(f"4|noise|{j}|0|{place}".encode()).hexdigest()[:8], 16) / 2**32 * total)
+            drawn = sum(end <= at for end in ends)
+            want += [(doc, drawn)] if drawn != word else []
+    assert sorted(map(tuple, noise.collect()), key=str) == sorted(want, key=str)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as tx
+from wordloom.functions.columns import once
 from wordloom.operators.joins import skew_safe_join
 from wordloom.sources.scratch import materialize
 
@@ -70,16 +71,11 @@ def describe(word: Column) -> Column:
     return F.when(F.regexp_like(word, F.lit("^\\p{L}+$")), _told(F.lower(word), _case(word), F.lit("plain"))).otherwise(marked)
 
 
-def _once(name: str, value: Column) -> Column:
-    """``value`` as a column that later steps read and never compute anew, as they would below a generator or in a filter derived from it."""
-    return F.explode(F.array(value)).alias(name)
-
-
 def _described(lines: DataFrame) -> DataFrame:
     """One row per word with the one before it in its line."""
-    words = lines.select(_once("words", F.transform(line_words(F.col("line")), describe)))
+    words = lines.select(once("words", F.transform(line_words(F.col("line")), describe)))
     pairs = F.transform("words", lambda w, i: F.struct(F.get("words", i - 1).alias("prev"), w.alias("word")))
-    return words.select(_once("pairs", pairs)).select(F.explode("pairs").alias("p")).select("p.prev", "p.word")
+    return words.select(once("pairs", pairs)).select(F.explode("pairs").alias("p")).select("p.prev", "p.word")
 
 
 def _xlogy(x: Column, y: Column) -> Column:
@@ -202,12 +198,12 @@ def segment(lines: DataFrame, model: SentenceModel, key: list[str] | None = None
     tables; of a line's text nothing but these words is joined.
     """
     key = key or ["doc_id", "line_no"]
-    words = lines.select("*", F.xxhash64("line").alias("_digest"), _once("_words", line_words(F.col("line"))))
-    told = words.select(*key, "_digest", _once("t", F.transform("_words", describe)))
+    words = lines.select("*", F.xxhash64("line").alias("_digest"), once("_words", line_words(F.col("line"))))
+    told = words.select(*key, "_digest", once("t", F.transform("_words", describe)))
     ended = F.filter(F.transform("t", lambda w, i: F.struct(
         i.alias("at"), w["typ"].alias("typ"), w["end"].alias("end"), F.get("t", i + 1).alias("after"))),
         lambda s: s["after"].isNotNull() & s["end"].isin("period", "mark"))
-    spots = told.select(*key, "_digest", _once("spots", ended)).select(*key, "_digest", F.explode("spots").alias("s"))
+    spots = told.select(*key, "_digest", once("spots", ended)).select(*key, "_digest", F.explode("spots").alias("s"))
     # written, for each join below may read them several times; what the model knows changes nothing for marks
     spots = materialize(spots.select(*key, "_digest", "s.at", "s.typ", "s.end", F.col("s.after.typ").alias("next"), F.col("s.after.case").alias("case")), "sentence_spots")
     spots = skew_safe_join(spots, model.types.select("typ", "abbreviation", F.col("n").alias("n_typ")), "typ", "n_typ", how="left")
@@ -223,7 +219,7 @@ def segment(lines: DataFrame, model: SentenceModel, key: list[str] | None = None
     same = [F.col(f"w.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*key, "_digest"]]
     joined = words.alias("w").join(by_line, same, "left").select("w.*", "_ends")
     edges = F.concat(F.array(F.lit(0)), F.coalesce("_ends", F.array().cast("array<int>")), F.array(F.size("_words")))
-    joined = joined.select("*", _once("_edges", edges))
+    joined = joined.select("*", once("_edges", edges))
     cut = F.transform(F.sequence(F.lit(0), F.size("_edges") - 2), lambda i: F.array_join(
         F.slice("_words", F.get("_edges", i) + 1, F.get("_edges", i + 1) - F.get("_edges", i)), " "))
     return joined.withColumn("sentences", F.when(F.size("_words") > 0, cut).otherwise(F.array().cast("array<string>"))).drop("_words", "_digest", "_ends", "_edges")
@@ -231,5 +227,5 @@ def segment(lines: DataFrame, model: SentenceModel, key: list[str] | None = None
 
 def sentences_of(lines: DataFrame, model: SentenceModel) -> DataFrame:
     """``(doc_id, line_no, sent_no, sentence)``: each sentence of each line."""
-    cut = segment(lines, model).select("doc_id", "line_no", _once("sentences", F.col("sentences")))
+    cut = segment(lines, model).select("doc_id", "line_no", once("sentences", F.col("sentences")))
     return cut.select("doc_id", "line_no", F.posexplode("sentences").alias("sent_no", "sentence"))
