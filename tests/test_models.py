@@ -574,3 +574,25 @@ def test_exploded_noise_is_drawn_once(spark, random_sents):
             drawn = sum(end <= at for end in ends)
             want += [(doc, drawn)] if drawn != word else []
     assert sorted(map(tuple, noise.collect()), key=str) == sorted(want, key=str)
+
+
+def test_a_small_softmax_is_gone_through_once(spark, lm_data, monkeypatch):
+    """The step from one pass equals the step by blocks, for large logits, too, and asks for no second pass."""
+    size, rows = lm_data
+    flat = rows.where("split = 'train' and mb_id < 3").select("mb_id", "x_idx", F.posexplode("y").alias("i", "y"))
+    examples = materialize(flat.select("mb_id", F.slice("x_idx", F.col("i") * 2 + 1, 2).alias("x_idx"), "y"), "ex")
+    for scale in (1.0, 900.0):
+        params = small_network(spark, size)
+        far = F.when(F.col("layer") == 2, F.transform("vals", lambda x: x * scale)).otherwise(F.col("vals"))
+        params = materialize(params.withColumn("vals", far), "far")
+        rule, found = blocked_training.Rule("sgd", 1.0), []
+        for words in (size // 3, None):
+            with monkeypatch.context() as patch:
+                if words is None:
+                    patch.setattr(lm, "_softmax", None)
+                state, stats = blocked_training.step(examples, blocked_training.start(params), size, rule, block_words=words)
+            found.append((lm.load_weights(blocked_training.params_of(state)), stats.toPandas().sort_values("mb_id")))
+        for a, b in zip(found[0][0], found[1][0]):
+            assert np.allclose(a, b, atol=1e-11, rtol=1e-9)
+        for c in ("mb_id", "cost", "accuracy"):
+            assert np.allclose(found[0][1][c], found[1][1][c], rtol=1e-9)

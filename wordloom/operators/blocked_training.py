@@ -1,6 +1,8 @@
 """Training the next-word model on weight tables, for vocabularies whose weights fit no single machine.
 
-One step follows the mean gradient over a share of the mini-batches.  The softmax is gone through twice in blocks of
+One step follows the mean gradient over a share of the mini-batches.  A softmax of up to ``SOFTMAX_BYTES`` is gone
+through once: a task that sees all logits of an example knows their sum before it needs it, and divides small sums by it
+instead of every probability.  A larger one is gone through twice in blocks of
 words: first for each example's largest logit and sum, then, with those known, for the gradients, so no
 task holds more than one block.  The hidden layer's input is a sum of one vector per slot and word; its gradient
 goes back the same way, summed per slot and word before it meets the embedding.  Words that no context of the share holds get
@@ -28,9 +30,12 @@ from wordloom.sources.scratch import materialize, release
 
 ROWS = "row int, theta array<double>, m array<double>, v array<double>, last bigint"
 SUMS = "kind int, id bigint, vec array<double>"
+SEEN = f"{SUMS}, y int, y_hat int, p_y double"
 _NAMES = ["row", "theta", "m", "v", "last"]
 # Examples whose probabilities over one block a task holds at once.
 BLOCK_CELLS = lm.SCORE_CELLS
+# Weights of a softmax that a task holds whole, with a few sums of the same size.
+SOFTMAX_BYTES = 16 << 20
 
 
 class Rule(NamedTuple):
@@ -164,30 +169,103 @@ def _sum_rows(kind: int, ids: np.ndarray, vec: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cells, names=["kind", "id", "vec"])
 
 
+def _block(softmax: DataFrame, first: int, block_words: int):
+    """The sent rows of a block of words, the bias last."""
+    found = softmax.where(f"row >= {first} and row < {first + block_words}").select("row", "theta").toArrow()
+    block = stack_vectors(found.column("theta"))[np.argsort(found.column("row").to_numpy())]
+    return softmax.sparkSession.sparkContext.broadcast(block)
+
+
+def _with_one(vectors: np.ndarray) -> np.ndarray:
+    return np.column_stack([vectors, np.ones(len(vectors))])
+
+
+def _tile(h: np.ndarray, y: np.ndarray, block: np.ndarray, by_unit: np.ndarray, weights: np.ndarray, space: np.ndarray):
+    """Of examples that see the whole softmax: the best word, probability of the true one, share of the hidden layer's
+    gradient, and the sums over the examples that are each word's gradient, transposed, but for the true words' part.
+
+    ``by_unit`` is ``block`` transposed, ``weights`` has ones in the place of its bias."""
+    rows, h1 = np.arange(len(h)), _with_one(h)
+    cells = np.matmul(h1, by_unit, out=space[: len(h)])
+    best = cells.argmax(axis=1)
+    top, own = cells[rows, best], cells[rows, y]
+    factor = lm._powers(cells, top)
+    weighted = cells @ weights
+    total = weighted[:, -1]
+    back = weighted[:, :-1] / total[:, None] - block[y, :-1]
+    return best, np.exp(own - top) / (total * factor), back, (h1 / total[:, None]).T @ cells
+
+
+def _whole_softmax_gradients(hidden: DataFrame, softmax: DataFrame, size: int, n: int) -> DataFrame:
+    """Written, from one pass: of each example how it was scored (kind 0, id is its mini-batch), and a task's sums: of each word
+    its row's gradient (kind 1), of each slot and word the hidden layer's gradient (kind 2), and that of all examples (kind 3)."""
+    shared = _block(softmax, 0, size)
+
+    def run(batches):
+        block = shared.value
+        step, total, by_slot = max(1, BLOCK_CELLS // len(block)), np.zeros_like(block), None
+        by_unit, weights, space = np.ascontiguousarray(block.T), _with_one(block[:, :-1]), np.empty((step, len(block)))
+
+        def rows(kind, ids, vec=None, seen=None):
+            some = len(ids)
+            vectors = pa.nulls(some, pa.list_(pa.float64())) if vec is None else vector_list(vec)
+            rest = seen or [pa.nulls(some, pa.int32()), pa.nulls(some, pa.int32()), pa.nulls(some, pa.float64())]
+            cells = [pa.array(np.full(some, kind), pa.int32()), pa.array(ids, pa.int64()), vectors, *rest]
+            return pa.RecordBatch.from_arrays(cells, names=["kind", "id", "vec", "y", "y_hat", "p_y"])
+
+        into = np.zeros_like(by_unit)
+        for batch in batches:
+            h, y = stack_vectors(batch.column("h")), batch.column("y").to_numpy()
+            slots = stack_vectors(batch.column("slots"), np.int64)
+            if not len(h):
+                continue
+            if by_slot is None:
+                by_slot = np.zeros((slots.shape[1] * size, h.shape[1]))
+                used = np.zeros(len(by_slot), bool)
+            best, p_y, back = np.empty(len(h), np.int32), np.empty(len(h)), np.empty_like(h)
+            for lo in range(0, len(h), step):
+                part = slice(lo, lo + step)
+                best[part], p_y[part], back[part], more = _tile(h[part], y[part], block, by_unit, weights, space)
+                into += more
+            np.subtract.at(total, y, _with_one(h))
+            np.add.at(by_slot, slots, (back * (h > 0))[:, None, :])
+            used[slots] = True
+            yield rows(0, batch.column("mb_id"), seen=[pa.array(y, pa.int32()), pa.array(best), pa.array(p_y)])
+        if by_slot is not None:
+            total += into.T
+            yield rows(1, np.arange(len(block)), total / n)
+            yield rows(2, np.flatnonzero(used), by_slot[used] / n)
+            yield rows(3, np.zeros(1, np.int64), by_slot[:size].sum(axis=0)[None] / n)
+
+    found = materialize(hidden.select("mb_id", "slots", "y", "h").mapInArrow(run, SEEN), "lm-block")
+    shared.unpersist()
+    return found
+
+
 def _softmax_gradients(told: DataFrame, softmax: DataFrame, size: int, n: int, block_words: int) -> list[DataFrame]:
     """Per block, written: of each example its share of the hidden layer's gradient (kind 0), of each word its row's (kind 1)."""
     parts = []
     for first in range(0, size, block_words):
-        found = softmax.where(f"row >= {first} and row < {first + block_words}").select("row", "theta").toArrow()
-        block = stack_vectors(found.column("theta"))[np.argsort(found.column("row").to_numpy())]
-        shared = told.sparkSession.sparkContext.broadcast(block)
+        shared = _block(softmax, first, block_words)
 
         def run(batches, first=first, shared=shared):
-            w, b = shared.value[:, :-1], shared.value[:, -1]
-            step, total = max(1, BLOCK_CELLS // max(len(b), 1)), np.zeros_like(shared.value)
+            block = shared.value
+            step, total = max(1, BLOCK_CELLS // max(len(block), 1)), np.zeros_like(block)
             for whole in batches:
                 for lo in range(0, whole.num_rows, step):
                     batch = whole.slice(lo, step)
-                    h = stack_vectors(batch.column("h"))
-                    d = np.exp(h @ w.T + b - batch.column("top").to_numpy()[:, None]) / batch.column("total").to_numpy()[:, None]
+                    h1 = _with_one(stack_vectors(batch.column("h")))
+                    top = batch.column("top").to_numpy()
+                    cells = h1 @ block.T
+                    share = (lm._powers(cells, top) / (batch.column("total").to_numpy() * n))[:, None]
+                    back = (cells @ block[:, :-1]) * share
+                    total += ((h1 * share).T @ cells).T
                     y = batch.column("y").to_numpy() - first
-                    inside = np.flatnonzero((y >= 0) & (y < len(b)))
-                    d[inside, y[inside]] -= 1.0
-                    d /= n
-                    total[:, :-1] += d.T @ h
-                    total[:, -1] += d.sum(axis=0)
-                    yield _sum_rows(0, batch.column("ex").to_numpy(), d @ w)
-            yield _sum_rows(1, first + np.arange(len(b)), total)
+                    inside = np.flatnonzero((y >= 0) & (y < len(block)))
+                    back[inside] -= block[y[inside], :-1] / n
+                    np.subtract.at(total, y[inside], h1[inside] / n)
+                    yield _sum_rows(0, batch.column("ex").to_numpy(), back)
+            yield _sum_rows(1, first + np.arange(len(block)), total)
 
         parts.append(materialize(told.select("ex", "y", "h", "top", "total").mapInArrow(run, SUMS), "lm-block"))
         shared.unpersist()
@@ -217,30 +295,51 @@ def _penalty(params: DataFrame, lmbda: float) -> float:
     return (lm.l2_norm(params, lmbda).first()[0] or 0.0) if lmbda else 0.0
 
 
-def step(examples: DataFrame, state: State, size: int, rule: Rule, learn_embeddings: bool = True, block_words: int = lm.BLOCK_WORDS) -> tuple[State, DataFrame]:
-    """One step on ``examples(mb_id, x_idx, y)``: the new state, and cost and accuracy per mini-batch before it."""
-    t = state.t + 1
-    used = examples.select(F.explode("x_idx").alias("x")).select((F.col("x") % size).cast("int").alias("row")).distinct()
-    # a penalty is summed over all rows, so none may lag behind
-    words = _caught_up(state.words, None if rule.lmbda else used, rule, t - 1) if learn_embeddings else state.words
-    params = params_of(state._replace(words=words))
-    hidden = lm.hidden_vectors(examples.withColumn("slots", F.col("x_idx")), params, size, ["mb_id", "slots"])
+def _by_blocks(hidden: DataFrame, params: DataFrame, softmax: DataFrame, size: int, block_words: int):
+    """Two passes over the softmax: examples as scored, and the gradients of words, of slots and words, and of the hidden layer's input."""
     soft = lm._softmax(hidden, params, size, 1, block_words)
     told = materialize(hidden.join(soft.select("ex", "own", "best", "top", "total"), "ex"), "lm-told")
-    n = told.count()
     scored = told.select("mb_id", "y", F.col("best")[0]["id"].alias("y_hat"), (F.exp(F.col("own") - F.col("top")) / F.col("total")).alias("p_y"))
-    stats = materialize(lm.cost_and_accuracy(scored, ["mb_id"], _penalty(params, rule.lmbda)), "lm-stats")
-
-    blocks = _softmax_gradients(told, state.softmax, size, n, block_words)
+    blocks = _softmax_gradients(told, softmax, size, told.count(), block_words)
     sums = blocks[0]
     for block in blocks[1:]:
         sums = sums.unionByName(block)
-    out_grads = _summed(sums.where("kind = 1"), "id").select(F.col("id").cast("int").alias("row"), F.col("vec").alias("g"))
-    softmax = materialize(_moved(state.softmax, out_grads, rule, t, free=1), "lm-softmax")
     back = _summed(sums.where("kind = 0"), "id").withColumnRenamed("id", "ex").join(told.select("ex", "slots", "h"), "ex")
     active = F.zip_with("vec", "h", lambda g, h: F.when(h > 0, g).otherwise(0.0))
     back = materialize(back.select("slots", active.alias("vec")), "lm-back")
-    by_slot = _summed(back.select(F.explode(F.col("slots").cast("array<bigint>")).alias("x"), "vec"), "x")
+    by_slot = back.select(F.explode(F.col("slots").cast("array<bigint>")).alias("x"), "vec")
+    return scored, sums.where("kind = 1"), by_slot, back.select("vec"), [told, back, *blocks]
+
+
+def _at_once(hidden: DataFrame, softmax: DataFrame, size: int):
+    """The same from one pass, of a softmax that a task holds whole."""
+    found = _whole_softmax_gradients(hidden, softmax, size, hidden.count())
+    scored = found.where("kind = 0").select(F.col("id").alias("mb_id"), "y", "y_hat", "p_y")
+    by_slot = found.where("kind = 2").select(F.col("id").alias("x"), "vec")
+    return scored, found.where("kind = 1"), by_slot, found.where("kind = 3").select("vec"), [found]
+
+
+def step(examples: DataFrame, state: State, size: int, rule: Rule, learn_embeddings: bool = True, block_words: int | None = None) -> tuple[State, DataFrame]:
+    """One step on ``examples(mb_id, x_idx, y)``: the new state, and cost and accuracy per mini-batch before it.
+
+    ``block_words`` defaults to as many words as ``SOFTMAX_BYTES`` hold."""
+    t = state.t + 1
+    used = examples.select(F.explode("x_idx").alias("x")).select((F.col("x") % size).cast("int").alias("row")).distinct()
+    # a penalty is summed over all rows, so none may lag behind
+    words = _caught_up(state.words, None if rule.lmbda else used, rule, t - 1) if learn_embeddings else state.words
+    params = params_of(state._replace(words=words))
+    hidden = lm.hidden_vectors(examples.withColumn("slots", F.col("x_idx")), params, size, ["mb_id", "slots"])
+    if block_words is None:
+        block_words = max(1, SOFTMAX_BYTES // (8 * (len(state.hidden[1][0]) + 1)))
+    if size <= block_words:
+        scored, out_sums, by_slot, back, made = _at_once(hidden, state.softmax, size)
+    else:
+        scored, out_sums, by_slot, back, made = _by_blocks(hidden, params, state.softmax, size, block_words)
+    stats = materialize(lm.cost_and_accuracy(scored, ["mb_id"], _penalty(params, rule.lmbda)), "lm-stats")
+
+    out_grads = _summed(out_sums, "id").select(F.col("id").cast("int").alias("row"), F.col("vec").alias("g"))
+    softmax = materialize(_moved(state.softmax, out_grads, rule, t, free=1), "lm-softmax")
+    by_slot = _summed(by_slot, "x")
     (w1, m1, v1), (b1, mb, vb) = state.hidden
     inputs = _input_gradients(by_slot, words, w1, size)
     g_b1 = np.array(back.agg(vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("g")).first()["g"])
@@ -255,7 +354,7 @@ def step(examples: DataFrame, state: State, size: int, rule: Rule, learn_embeddi
         for old in {id(state.words): state.words, id(words): words}.values():
             release(old)
         words = moved
-    for old in (params, hidden, told, back, inputs, state.softmax, *blocks):
+    for old in (params, hidden, inputs, state.softmax, *made):
         release(old)
     return State(words, softmax, hidden_state, t), stats
 
@@ -286,7 +385,7 @@ def load(spark: SparkSession, path: str) -> State:
 
 def train(
     rows: DataFrame, params: DataFrame | None, vocab_size: int, epochs: int = 10, lmbda: float = 0.0, optimizer: str = "adam", rate: float = 0.001,
-    steps_per_epoch: int = 1, learn_embeddings: bool = True, path_to_save: str | None = None, block_words: int = lm.BLOCK_WORDS,
+    steps_per_epoch: int = 1, learn_embeddings: bool = True, path_to_save: str | None = None, block_words: int | None = None,
     resume: str | None = None, first_epoch: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Train on ``batch_rows`` and return ``(params, stats)``, with the results of ``sync='gradient'`` at any vocabulary size.
