@@ -596,3 +596,30 @@ def test_a_small_softmax_is_gone_through_once(spark, lm_data, monkeypatch):
             assert np.allclose(a, b, atol=1e-11, rtol=1e-9)
         for c in ("mb_id", "cost", "accuracy"):
             assert np.allclose(found[0][1][c], found[1][1][c], rtol=1e-9)
+
+
+def test_gradients_are_added_up_without_probabilities(monkeypatch):
+    """Blocks of words give the dense gradient, near the range of a double, too, and add to what is there."""
+    monkeypatch.setattr(lm, "TILE_CELLS", 16)
+    monkeypatch.setattr(lm, "STEP_CELLS", 5)
+    rng = np.random.default_rng(3)
+    for scale in (1.0, 2000.0):
+        w = [rng.normal(size=s) for s in ((7, 3), (6, 4), (4,), (7, 4), (7,))]
+        w[3] *= scale
+        words, y = rng.integers(0, 7, (5, 2)), rng.integers(0, 7, 5)
+        y[0] = lm._forward(w, words)[3][0].argmax()
+        x, z, h, p = lm._forward(w, words)
+        d = (p - np.eye(7)[y]) / 5
+        back = (d @ w[3]) * (z > 0)
+        into = [np.ones_like(a) for a in w]
+        with np.errstate(divide="ignore"):
+            cost, accuracy, got = lm._gradients(w, words, y, 0.0, into, np.empty(99))
+            assert cost == pytest.approx(-np.log(p[np.arange(5), y]).mean())
+        assert accuracy == (p.argmax(axis=1) == y).mean()
+        for a, b in zip(got[1:], (x.T @ back, back.sum(0), d.T @ h, d.sum(0))):
+            assert np.allclose(a - 1, b, atol=1e-9 * scale)
+    dense = [rng.normal(size=(4, 3)), np.zeros((4, 3)), np.zeros((4, 3))]
+    parts, g = [a.copy() for a in dense], rng.normal(size=(4, 3))
+    lm.adam_step(*dense, g, 3, 0.1)
+    lm._adam_in_cache(*parts, g, 3, 0.1)
+    assert all((a == b).all() for a, b in zip(parts, dense))
