@@ -79,9 +79,11 @@ def _merged(toks: pa.Array, starts_pair: np.ndarray) -> pa.Array:
     opens = starts_pair & ((at - run_start) % 2 == 0)
     closes = np.zeros(n, bool)
     closes[1:] = opens[:-1]
-    following = words.take(pa.array(np.minimum(at + 1, n - 1)))
-    joined = pc.binary_join_element_wise(words, following, DELIMITER)
-    merged = pc.if_else(pa.array(opens), joined, words).filter(pa.array(~closes))
+    # only the words of phrases are copied one by one
+    first = np.flatnonzero(opens)
+    following = words.take(pa.array(np.minimum(first + 1, n - 1)))
+    joined = pc.binary_join_element_wise(words.take(pa.array(first)), following, DELIMITER)
+    merged = pc.replace_with_mask(words, pa.array(opens), joined).filter(pa.array(~closes))
     kept = np.concatenate([[0], np.cumsum(~closes)])[offsets]
     return pa.ListArray.from_arrays(pa.array(kept.astype(np.int32)), merged)
 
