@@ -213,3 +213,18 @@ def test_examples_are_numbered_in_corpus_order(random_sents):
         assert rows_of(got, "ex_id", "x_idx", "y") == want
     dense = contexts.one_hot_vectors(got, len(ids), 2).orderBy("ex_id").first()["x"].toArray()
     assert dense.sum() == 2 and list(dense.nonzero()[0]) == want[0][1] and len(dense) == 2 * len(ids)
+
+
+def test_windows_are_cut_by_plain_expressions(spark, random_sents):
+    """Windows came from functions over arrays, which are interpreted, and sentences were encoded twice to number their examples."""
+    vocab = materialize(vocabulary.vocabulary(vocabulary.token_counts(random_sents), 110), "vocab")
+    encoded = encoding.encode_sentences(random_sents, vocab)
+    pairs = contexts.target_context_pairs(encoded, 2, 2)
+    examples = contexts.lm_examples(encoded, vocab.count(), 2)
+    plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in (pairs, examples)]
+    assert "transform(" not in plans[0] and plans[0].count("lambdafunction(") <= 2
+    assert "transform(" not in plans[1] and "lambdafunction(" not in plans[1] and "ids_of" not in plans[1]
+    odd = "doc_id string, line_no int, sent_no int, toks array<string>, ids array<int>"
+    rows = [("a", 0, 0, ["x", "y", "z"], [None, None, None]), ("a", 0, 1, [], []), (None, 0, 2, ["x", "y", "x"], [4, None, 4])]
+    got = contexts.target_context_pairs(spark.createDataFrame(rows, odd), 1, 1)
+    assert sorted(got.select("pos", "target", "ctx").collect()) == [(0, "x", ["x"]), (2, "x", ["x"])]
