@@ -1,5 +1,7 @@
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +230,14 @@ def test_windows_are_cut_by_plain_expressions(spark, random_sents):
     rows = [("a", 0, 0, ["x", "y", "z"], [None, None, None]), ("a", 0, 1, [], []), (None, 0, 2, ["x", "y", "x"], [4, None, 4])]
     got = contexts.target_context_pairs(spark.createDataFrame(rows, odd), 1, 1)
     assert sorted(got.select("pos", "target", "ctx").collect()) == [(0, "x", ["x"]), (2, "x", ["x"])]
+
+
+def test_only_phrases_are_joined(monkeypatch):
+    """Every word was joined with the next, also where no phrase opens."""
+    toks = pa.array([["a", "b", "c"], [], ["b", "b", "b", "b", "b"], ["a"]], pa.list_(pa.string()))
+    flags = np.array([1, 0, 0, 1, 1, 1, 1, 0, 0], bool)
+    join, sizes = phrases.pc.binary_join_element_wise, []
+    monkeypatch.setattr(phrases.pc, "binary_join_element_wise", lambda a, *rest: sizes.append(len(a)) or join(a, *rest))
+    assert phrases._merged(toks, flags).to_pylist() == [["a_b", "c"], [], ["b_b", "b_b", "b"], ["a"]]
+    assert phrases._merged(toks, ~(flags | True)).to_pylist() == toks.to_pylist()
+    assert sizes == [3, 0]
