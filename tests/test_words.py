@@ -241,3 +241,33 @@ def test_only_phrases_are_joined(monkeypatch):
     assert phrases._merged(toks, flags).to_pylist() == [["a_b", "c"], [], ["b_b", "b_b", "b"], ["a"]]
     assert phrases._merged(toks, ~(flags | True)).to_pylist() == toks.to_pylist()
     assert sizes == [3, 0]
+
+
+def test_cooccurrence_shuffles_lists_at_the_rarer_word(spark, random_sents, monkeypatch):
+    vocab = vocabulary.vocabulary(vocabulary.token_counts(random_sents), 2)
+    ids = {r["tok"]: r["id"] for r in vocab.collect()}
+    want = brute_cooc(sentences_of(random_sents), ids, 3)
+    for bounds in ((1 << 20, 256, 1 << 20), (50, 2, 3)):
+        for name, bound in zip(("PAIRS_PER_COUNT", "COUNTS_PER_LIST", "COUNTS_PER_MERGE"), bounds):
+            monkeypatch.setattr(cooc, name, bound)
+        found = cooc.cooccurrence(random_sents, vocab, 3)
+        got = [((r["row"], r["col"]), r["value"]) for r in found.collect()]
+        assert dict(got) == want and len(got) == len(want)
+    # cells are summed in arrays; Spark gets a row per list, not per pair
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    empty = random_sents.where("size(toks) < 0")
+    assert cooc.cooccurrence(empty, vocab, 3).count() == 0
+
+
+def test_ppmi_counts_its_marginals_once(spark):
+    cells = spark.createDataFrame([(0, 0, 4.0), (0, 1, 2.0), (1, 0, 2.0), (1, 2, 1.0), (2, 1, 1.0)], "row int, col int, value double")
+    found = cooc.ppmi(cells, 0.75)
+    dense = np.array([[4.0, 2, 0], [2, 0, 1], [0, 1, 0]])
+    share = dense.sum(axis=0) ** 0.75 / (dense.sum(axis=0) ** 0.75).sum()
+    with np.errstate(divide="ignore"):
+        want = np.log2(dense / dense.sum() / (dense.sum(axis=1)[:, None] / dense.sum() * share[None, :]))
+    got = {(r["row"], r["col"]): r["value"] for r in found.collect()}
+    assert set(got) == set(zip(*np.nonzero(want > 0))) and all(abs(want[at] - v) < 1e-12 for at, v in got.items())
+    # read from written tables, not summed again for each use
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
