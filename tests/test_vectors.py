@@ -258,3 +258,26 @@ def test_sparse_products_shuffle_cells_not_vectors(spark, block_bytes):
     assert set(got) == met and all(np.allclose(got[j], (dense.T @ v)[j]) for j in met)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert ("Join" in plan) == (block_bytes == 8)
+
+
+def test_lanczos_passes_have_no_more_tasks_than_cores(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    a = rng.random((120, 120)) * (rng.random((120, 120)) < 0.3)
+    cells = [(i, j, float(a[i, j])) for i in range(120) for j in range(120) if a[i, j]]
+    df = spark.createDataFrame(cells, "row int, col int, value double").repartition(9)
+    tasks, real = [], decomposition.IndexedRowMatrix
+    monkeypatch.setattr(
+        decomposition, "IndexedRowMatrix", lambda rows, *size: tasks.append(rows.rdd.getNumPartitions()) or real(rows, *size)
+    )
+    monkeypatch.setattr(decomposition, "CELLS_PER_TASK", 100)
+    monkeypatch.setattr(decomposition, "CELLS_PER_PART", 100, raising=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        u, sigma = decomposition.svd_truncate(df, 120, 6)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # each task of a pass shuffles a vector as long as the vocabulary
+    assert tasks and max(tasks) <= spark.sparkContext.defaultParallelism
+    want_u, want_s, _ = np.linalg.svd(a)
+    got = np.array([r["vec"] for r in u.orderBy("id").collect()])
+    assert np.allclose(sigma, want_s[:6], rtol=1e-9) and np.allclose(np.abs(got), np.abs(want_u[:, :6]), atol=1e-6)
