@@ -281,3 +281,19 @@ def test_lanczos_passes_have_no_more_tasks_than_cores(spark, monkeypatch):
     want_u, want_s, _ = np.linalg.svd(a)
     got = np.array([r["vec"] for r in u.orderBy("id").collect()])
     assert np.allclose(sigma, want_s[:6], rtol=1e-9) and np.allclose(np.abs(got), np.abs(want_u[:, :6]), atol=1e-6)
+
+
+def test_word_word_roundtrip_names_words_without_sorting_cells(spark, tmp_path):
+    from wordloom.plans.queries import QUERIES
+
+    spark.createDataFrame([(1, "a b a b c. " * 30)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = QUERIES["model_roundtrip_word_word"](spark, str(tmp_path))
+        got = {(r["word"], r["context"]): r["value"] for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got["a", "a"] == 60 and got["a", "b"] == got["b", "a"] == 120 and got["c", "a"] == 60 and len(got) == 8
+    # the cells of a word are as skewed as its count
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
