@@ -176,6 +176,22 @@ def test_embeddings_learn_which_words_meet(pair_corpus, algorithm):
     assert same > other + 0.3
 
 
+@pytest.mark.parametrize("name", ["w2v_skipgram", "w2v_cbow"])
+def test_embedding_queries_train_with_the_full_parameters(spark, monkeypatch, name):
+    """The published job's settings: 20 epochs of vectors of 100."""
+    from wordloom.plans import queries
+
+    seen = {}
+
+    def train(sents, vocab, algorithm="skip-gram", **how):
+        seen.update(how)
+        return vocab.select("id", "tok", F.array(F.lit(1.0)).alias("vec")), []
+
+    monkeypatch.setattr(word2vec, "train_word2vec", train)
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert (seen["epochs"], seen["vector_size"]) == (20, 100)
+
+
 @pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
 def test_embeddings_do_not_depend_on_partitions(pair_corpus, algorithm):
     vocab = vocabulary.vocabulary(vocabulary.token_counts(pair_corpus), 1)
