@@ -9,6 +9,7 @@ from tests.conftest import rows_of
 from wordloom.errors import WordNotInVocabulary
 from wordloom.operators import blocked_training, corpus, encoding, phrases, vocabulary, word2vec
 from wordloom.operators import language_model as lm
+from wordloom.operators import series
 from wordloom.plans import cli, jobs
 from wordloom.plans.models import EmbeddingModel, LanguageModel, TermDocumentModel, WordWordModel
 from wordloom.sources import saved
@@ -592,6 +593,55 @@ def test_exploded_noise_is_drawn_once(spark, random_sents):
     assert sorted(map(tuple, noise.collect()), key=str) == sorted(want, key=str)
 
 
+def wide_network(spark, size, rng):
+    """Two numbers a word, three hidden units, contexts of two words and a softmax of many words."""
+    small = [(1, "w", i, rng.uniform(-1, 1, 3).tolist()) for i in range(4)] + [(1, "b", 0, rng.uniform(0, 1, 3).tolist())]
+    words = [(0, "w", i, rng.uniform(0, 4, 2).tolist()) for i in range(size)]
+    out = [(2, "w", i, rng.uniform(-0.5, 0.5, 3).tolist()) for i in range(size)]
+    rows = words + small + out + [(2, "b", 0, rng.uniform(-0.5, 0.5, size).tolist())]
+    return materialize(spark.createDataFrame(rows, lm.PARAMS), "wide")
+
+
+def test_series_add_up_what_single_words_do():
+    """Sums, and the best words with their ties, of a wide vocabulary; far and few examples, too."""
+    rng = np.random.default_rng(3)
+    w, b = np.round(rng.uniform(-0.5, 0.5, (6500, 3)), 2), np.round(rng.uniform(-0.5, 0.5, 6500), 1)
+    h = np.maximum(rng.normal([3, 2, 0], [1, 2, 2], (3000, 3)), 0)
+    h[:3] = [[0, 0, 0], [400, 0, 90], [0, 2000, 0]]
+    logits = h @ w.T + b
+    few = series.best_words(w, b, 3)
+    assert len(few) < 1500 and series.pays(3, 6500) and not series.pays(16, 1 << 20)
+    assert (few[series_best(logits[:, few], 3)] == series_best(logits, 3)).all()
+    top, found = logits.max(axis=1), series.Series(w, b)
+    whole = np.exp(logits - top[:, None]).sum(axis=1)
+    for _ in range(2):
+        assert np.allclose(found.sums(h, top), whole, rtol=1e-13, atol=0)
+    assert len(found.slot) > 3 and 0 < (found.place(h) < 0).sum() < 1000
+
+
+def series_best(logits, k):
+    """The order of exact arithmetic: weights are hundredths here, so logits that should be equal are made so."""
+    return np.argsort(-np.round(logits, 9), axis=1, kind="stable")[:, :k]
+
+
+def test_scores_of_a_wide_vocabulary_take_no_power_per_word(spark, monkeypatch):
+    size, rng, asked = 6500, np.random.default_rng(5), []
+    params = wide_network(spark, size, rng)
+    rows = [(i, [int(rng.integers(size)), size + int(rng.integers(size))], int(rng.integers(size))) for i in range(1500)]
+    examples = materialize(spark.createDataFrame(rows, "i int, x_idx array<int>, y int"), "ex")
+    found, best_words = [], series.best_words
+    monkeypatch.setattr(series, "best_words", lambda *how: asked.append(1) or best_words(*how))
+    for block in (3000, None):
+        scored = lm.score(examples, params, size, ["i"], block).orderBy("i").toPandas()
+        top = lm.predict_topk(examples, params, size, ["i"], 3, block).orderBy("i", "rank").toPandas()
+        found.append((scored, top))
+        assert len(asked) == (0 if block else 2)
+    (a, at), (b, bt) = found
+    assert len(a) == 1500 and list(a.columns) == list(b.columns) and list(at.columns) == list(bt.columns)
+    assert (a["y_hat"] == b["y_hat"]).all() and np.allclose(a["p_y"], b["p_y"], rtol=1e-12)
+    assert (at["word_id"] == bt["word_id"]).all() and np.allclose(at["p"], bt["p"], rtol=1e-12)
+
+
 def test_a_small_softmax_is_gone_through_once(spark, lm_data, monkeypatch):
     """The step from one pass equals the step by blocks, for large logits, too, and asks for no second pass."""
     size, rows = lm_data
