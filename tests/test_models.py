@@ -642,6 +642,23 @@ def test_scores_of_a_wide_vocabulary_take_no_power_per_word(spark, monkeypatch):
     assert (at["word_id"] == bt["word_id"]).all() and np.allclose(at["p"], bt["p"], rtol=1e-12)
 
 
+def test_a_step_on_a_wide_vocabulary_equals_the_step_by_blocks(spark, monkeypatch):
+    size, rng, asked = 6500, np.random.default_rng(8), []
+    params = wide_network(spark, size, rng)
+    rows = [(i % 9, [int(rng.integers(size)), size + int(rng.integers(size))], int(rng.integers(size))) for i in range(1500)]
+    examples = materialize(spark.createDataFrame(rows, "mb_id int, x_idx array<int>, y int").coalesce(1), "ex")
+    gradients, found = series.best_words, []
+    monkeypatch.setattr(series, "best_words", lambda *how: asked.append(1) or gradients(*how))
+    for words in (3000, None):
+        state, stats = blocked_training.step(examples, blocked_training.start(params), size, blocked_training.Rule("sgd", 100.0), block_words=words)
+        found.append((lm.load_weights(blocked_training.params_of(state)), stats.toPandas().sort_values("mb_id")))
+        assert len(asked) == (0 if words else 1)
+    for a, b in zip(found[0][0], found[1][0]):
+        assert np.allclose(a, b, atol=1e-11, rtol=1e-9)
+    for c in ("mb_id", "cost", "accuracy"):
+        assert np.allclose(found[0][1][c], found[1][1][c], rtol=1e-9)
+
+
 def test_a_small_softmax_is_gone_through_once(spark, lm_data, monkeypatch):
     """The step from one pass equals the step by blocks, for large logits, too, and asks for no second pass."""
     size, rows = lm_data

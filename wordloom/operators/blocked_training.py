@@ -2,7 +2,7 @@
 
 One step follows the mean gradient over a share of the mini-batches.  A softmax of up to ``SOFTMAX_BYTES`` is gone
 through once: a task that sees all logits of an example knows their sum before it needs it, and divides small sums by it
-instead of every probability.  A larger one is gone through twice in blocks of
+instead of every probability; with few units for its words, sums and gradients come from series (``series.Gradients``).  A larger one is gone through twice in blocks of
 words: first for each example's largest logit and sum, then, with those known, for the gradients, so no
 task holds more than one block.  The hidden layer's input is a sum of one vector per slot and word; its gradient
 goes back the same way, summed per slot and word before it meets the embedding.  Words that no context of the share holds get
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.arrays import stack_vectors, vector_list
 from wordloom.operators import language_model as lm
+from wordloom.operators import series
 from wordloom.sources.scratch import materialize, release
 
 ROWS = "row int, theta array<double>, m array<double>, v array<double>, last bigint"
@@ -196,13 +197,28 @@ def _tile(h: np.ndarray, y: np.ndarray, block: np.ndarray, by_unit: np.ndarray,
     return best, np.exp(own - top) / (total * factor), back, (h1 / total[:, None]).T @ cells
 
 
+def _best_of(h: np.ndarray, block: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best word of each example and its logit; only the words ``few`` are compared."""
+    best, top = np.empty(len(h), np.int32), np.empty(len(h))
+    by_unit, step = np.ascontiguousarray(block[few].T), max(1, BLOCK_CELLS // len(few))
+    for lo in range(0, len(h), step):
+        cells = _with_one(h[lo : lo + step]) @ by_unit
+        at = cells.argmax(axis=1)
+        best[lo : lo + step], top[lo : lo + step] = few[at], cells[np.arange(len(cells)), at]
+    return best, top
+
+
 def _whole_softmax_gradients(hidden: DataFrame, softmax: DataFrame, size: int, n: int) -> DataFrame:
     """Written, from one pass: of each example how it was scored (kind 0, id is its mini-batch), and a task's sums: of each word
     its row's gradient (kind 1), of each slot and word the hidden layer's gradient (kind 2), and that of all examples (kind 3)."""
     shared = _block(softmax, 0, size)
+    w, b = shared.value[:, :-1], shared.value[:, -1]
+    # None unless the sums over so many words come cheaper from series
+    few = series.best_words(w, b, 1) if series.pays(w.shape[1], len(b)) else None
 
     def run(batches):
         block = shared.value
+        grads = None if few is None else series.Gradients(series.Series(np.ascontiguousarray(block[:, :-1]), block[:, -1].copy()))
         step, total, by_slot = max(1, BLOCK_CELLS // len(block)), np.zeros_like(block), None
         by_unit, weights, space = np.ascontiguousarray(block.T), _with_one(block[:, :-1]), np.empty((step, len(block)))
 
@@ -223,7 +239,11 @@ def _whole_softmax_gradients(hidden: DataFrame, softmax: DataFrame, size: int, n
                 by_slot = np.zeros((slots.shape[1] * size, h.shape[1]))
                 used = np.zeros(len(by_slot), bool)
             best, p_y, back = np.empty(len(h), np.int32), np.empty(len(h)), np.empty_like(h)
-            for lo in range(0, len(h), step):
+            if grads is not None:
+                best, top = _best_of(h, block, few)
+                sums, mean = grads.add(h, top)
+                p_y, back = np.exp((_with_one(h) * block[y]).sum(axis=1) - top) / sums, mean - block[y, :-1]
+            for lo in range(0, len(h) if grads is None else 0, step):
                 part = slice(lo, lo + step)
                 best[part], p_y[part], back[part], more = _tile(h[part], y[part], block, by_unit, weights, space)
                 into += more
@@ -232,7 +252,7 @@ def _whole_softmax_gradients(hidden: DataFrame, softmax: DataFrame, size: int, n
             used[slots] = True
             yield rows(0, batch.column("mb_id"), seen=[pa.array(y, pa.int32()), pa.array(best), pa.array(p_y)])
         if by_slot is not None:
-            total += into.T
+            total += into.T if grads is None else grads.by_word()
             yield rows(1, np.arange(len(block)), total / n)
             yield rows(2, np.flatnonzero(used), by_slot[used] / n)
             yield rows(3, np.zeros(1, np.int64), by_slot[:size].sum(axis=0)[None] / n)
