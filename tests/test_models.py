@@ -2,11 +2,13 @@ import hashlib
 import inspect
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wordloom.errors import WordNotInVocabulary
+from wordloom.functions import hashing
 from wordloom.operators import blocked_training, corpus, encoding, phrases, vocabulary, word2vec
 from wordloom.operators import language_model as lm
 from wordloom.operators import series
@@ -164,6 +166,44 @@ def test_noise_follows_its_distribution(pair_corpus):
     assert len(counts) == 12 and all(abs(r["count"] / total - 1 / 12) < 0.02 for r in counts)
 
 
+def test_digits_of_hashes_are_the_hashes(spark):
+    rows = spark.range(300).select("id", F.concat_ws("|", "id", F.lit("ü")).alias("t")).coalesce(1)
+    names = ["noise|0", "noise|10"]
+    want = rows.select(*[hashing.hash32(7, F.lit(n), F.col("t")) for n in names]).collect()
+    digits = F.concat(*[hashing.hash_digits(7, F.lit(n), F.col("t")) for n in names]).alias("d")
+    found = rows.select(digits).toArrow().column("d").combine_chunks()
+    assert hashing.from_digits(found, 2).tolist() == [list(r) for r in want]
+    assert hashing.from_digits(found.slice(7, 20), 2).tolist() == [list(r) for r in want[7:27]]
+    assert hashing.from_digits(found.slice(0, 0), 2).shape == (0, 2)
+    assert hashing.from_digits(pa.array(["", ""]), 0).shape == (2, 0)
+
+
+def test_hashes_in_arrays_are_those_of_the_column(spark):
+    """Empty and wide texts, the longest that fit one block, slices, nulls, and keys of unequal length."""
+    keys, most = ["noise|0", "noise|1", "noise|10"], 55 - len("7|noise|10|")
+    texts = ["", "0|a|1", "ü" * (most // 2), *["x" * n for n in range(most + 3)], *[f"0|{i}|{i % 3}" for i in range(50)]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1).orderBy("i")
+    fits = [r[0] for r in rows.select(hashing.fits_arrays(7, keys, F.col("t"))).collect()]
+    assert fits == [len(t.encode()) <= most for t in texts] and not all(fits)
+    want = rows.select(*[hashing.hash32(7, F.lit(k), F.col("t")) for k in keys]).collect()
+    got = hashing.hash32_of(7, keys, pa.array(["before", *[t if f else None for t, f in zip(texts, fits)]]).slice(1))
+    assert [g for g, f in zip(got.tolist(), fits) if f] == [list(w) for w, f in zip(want, fits) if f]
+    assert hashing.hash32_of(7, [], pa.array(texts)).shape == (len(texts), 0)
+
+
+def test_noise_of_long_places_is_the_same(spark, random_sents):
+    """An id beyond one md5 block is hashed by Spark; both kinds in one table."""
+    vocab = materialize(vocabulary.vocabulary(vocabulary.token_counts(random_sents), 1), "vocab")
+    schema = "doc_id string, line_no int, sent_no int, pos int, center int, ctx array<int>"
+    windows = spark.createDataFrame([(d, 0, 0, 2, 3, [1, 2]) for d in ("a", "b" * 80, None)], schema)
+    few = word2vec.negative_samples(windows, vocab, 3, seed=4)
+    many = word2vec.negative_samples(windows, vocab, 3, seed=4, limit=0)
+    assert few.count() == 6
+    for row in few.collect():
+        drawn = many.where((F.col("context") == row["context"]) & F.col("doc_id").eqNullSafe(F.lit(row["doc_id"])))
+        assert row["doc_id"] is None or drawn.first()["noise"] == row["noise"]
+
+
 @pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
 def test_embeddings_learn_which_words_meet(pair_corpus, algorithm):
     vocab = vocabulary.vocabulary(vocabulary.token_counts(pair_corpus), 1)
