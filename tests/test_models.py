@@ -1,5 +1,6 @@
 import hashlib
 import inspect
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -245,6 +246,22 @@ def test_embeddings_do_not_depend_on_partitions(pair_corpus, algorithm):
     assert found[0] == found[1]
 
 
+@pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
+def test_sent_weights_train_as_tables_do(spark, pair_corpus, algorithm):
+    """The same vectors and losses, and neither examples nor former weights are left on disk."""
+    some = materialize(pair_corpus.where("doc_id < 60"), "some")
+    vocab = materialize(vocabulary.vocabulary(vocabulary.token_counts(some), 1), "vocab")
+    how = dict(vector_size=8, window=3, epochs=2, sample=0.05, seed=4, chunk_words=150)
+    where = Path(checkpoint_dir(spark)) / "wordloom"
+    found = []
+    for limit in (0, 1 << 20):
+        old = set(where.glob("w2v-*"))
+        vectors, losses = word2vec.train_word2vec(some, vocab, algorithm, limit=limit, **how)
+        found.append(({r["tok"]: np.round(r["vec"], 12).tolist() for r in vectors.collect()}, np.round(losses, 12).tolist()))
+        assert len(set(where.glob("w2v-*")) - old) == 1
+    assert found[0] == found[1] and len(found[0][0]) == vocab.count()
+
+
 @pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
 def test_one_epoch_equals_the_same_steps_on_arrays(pair_corpus, algorithm):
     """Per chunk the published update, example by example; moves averaged over chunks by use."""
