@@ -262,6 +262,23 @@ def test_sent_weights_train_as_tables_do(spark, pair_corpus, algorithm):
     assert found[0] == found[1] and len(found[0][0]) == vocab.count()
 
 
+@pytest.mark.parametrize("skipgram", [True, False])
+def test_examples_together_are_the_same(spark, skipgram):
+    """Sentences of several parts, too; every chunk comes in one piece and in its order."""
+    rng = np.random.default_rng(2)
+    rows = [(d, 0, s, [f"w{i}" for i in rng.integers(0, 30, n)]) for d in range(6) for s, n in enumerate((3, 2500, 1, 999, 1003))]
+    sents = materialize(spark.createDataFrame(rows, "doc_id int, line_no int, sent_no int, toks array<string>"), "long")
+    vocab = materialize(vocabulary.vocabulary(vocabulary.token_counts(sents), 1), "vocab")
+    how = (sents, vocab, skipgram, 4, 2, 0.02, 4, 1, 300)
+    apart = word2vec.training_examples(*how)
+    together = word2vec.training_examples(*how, together=True)
+    assert apart.columns == together.columns
+    assert sorted(map(str, apart.collect())) == sorted(map(str, together.collect()))
+    found = together.withColumn("task", F.spark_partition_id()).collect()
+    order = [(r["task"], r["chunk"], r["turn"], r["doc_id"], r["line_no"], r["sent_no"], r["pos"], r["nth"]) for r in found]
+    assert order == sorted(order) and len({r["chunk"] for r in found}) == len({(r["task"], r["chunk"]) for r in found}) > 5
+
+
 @pytest.mark.parametrize("algorithm", ["skip-gram", "cbow"])
 def test_one_epoch_equals_the_same_steps_on_arrays(pair_corpus, algorithm):
     """Per chunk the published update, example by example; moves averaged over chunks by use."""
